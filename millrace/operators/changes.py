@@ -10,7 +10,9 @@ A change table is a folder with three parquet data sets:
 * ``commits`` - one row per finished commit. A version exists for readers once its
   row is there, so a job that dies half way leaves nothing visible.
 
-Each table has one writer at a time; there is no concurrency control.
+Each table has one writer at a time; there is no concurrency control. Reads cost one
+pass over the base plus work on the changes since, so a table with many commits
+should be folded now and then (``fold_every`` does it while committing).
 """
 
 from __future__ import annotations
@@ -71,17 +73,19 @@ def diff_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 class ChangeTable:
     """A keyed table kept as its row changes; see the module text for the layout."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, keys: list[str]):
+    def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, keys: list[str],
+                 fold_every: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.columns = self.schema.fieldNames()
         self.keys = list(keys)
+        self.fold_every = fold_every
 
     # -- commits ---------------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        """Finished commits and folds, one row each."""
+        """Finished commits, folds and expiries, one row each."""
         return read_if_present(self.spark, f"{self.path}/commits", _COMMITS)
 
     def _record(self, version: int, operation: str, writer: str | None, batch: int | None,
@@ -92,9 +96,24 @@ class ChangeTable:
         )
         row.write.mode("append").parquet(f"{self.path}/commits")
 
+    def _state(self, upto: int | None = None, writer: str | None = None, batch: int | None = None):
+        """Newest version, newest fold (by ``upto``), newest expiry, and a writer's earlier commit."""
+        base = F.col("is_base") if upto is None else F.col("is_base") & (F.col("version") <= upto)
+        mine = (F.col("writer") == F.lit(writer)) & (F.col("batch") == F.lit(batch))
+
+        def newest(condition):
+            return F.coalesce(F.max(F.when(condition, F.col("version"))), F.lit(0))
+
+        return self.commits().agg(
+            newest(~F.col("is_base")).alias("newest"),
+            newest(base).alias("base"),
+            newest(F.col("operation") == "EXPIRE").alias("expired"),
+            newest(mine).alias("done"),
+        ).first()
+
     def version(self) -> int:
         """Newest version; 0 before the first commit."""
-        return self.commits().where("NOT is_base").agg(F.max("version")).first()[0] or 0
+        return self._state().newest
 
     def commit(self, changes: DataFrame, operation: str, writer: str | None = None,
                batch: int | None = None, at: dt.datetime | None = None) -> int:
@@ -103,12 +122,10 @@ class ChangeTable:
         A micro-batch replayed after a failure names the same ``writer`` and ``batch``
         and is then skipped. A version whose write did not finish is written over.
         """
-        if writer is not None:
-            done = self.commits().where((F.col("writer") == writer) & (F.col("batch") == batch))
-            found = done.agg(F.max("version")).first()[0]
-            if found is not None:
-                return found
-        version = self.version() + 1
+        state = self._state(writer=writer, batch=batch)
+        if state.done:
+            return state.done
+        version = state.newest + 1
         at = at or dt.datetime.now(dt.timezone.utc)
         (
             changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], "_change_type")
@@ -117,6 +134,8 @@ class ChangeTable:
             .parquet(f"{self.path}/changes/_commit_version={version}")
         )
         self._record(version, operation, writer, batch, False, at)
+        if self.fold_every and version - max(state.base, 1) >= self.fold_every:
+            self.fold(version)
         return version
 
     def insert(self, rows: DataFrame, operation: str = "WRITE", **commit) -> int:
@@ -149,13 +168,18 @@ class ChangeTable:
         seen = self.commits().where(~F.col("is_base") & (F.col("committed_at") <= F.lit(moment)))
         return seen.agg(F.max("version")).first()[0] or 0
 
+    def touched(self, after: int, upto: int) -> DataFrame:
+        """Keys that changed in the versions ``after < v <= upto``."""
+        return self._changes(after, upto).select(self.keys).distinct()
+
     def feed(self, start: int | dt.datetime = 1, end: int | dt.datetime | None = None) -> DataFrame:
         """The change feed between two versions or two moments, both included."""
-        newest = self.version()
-        last = newest if end is None else min(end, newest) if isinstance(end, int) else self._version_at(end)
-        if isinstance(start, int):
-            return self._changes(start - 1, last)
-        return self._changes(0, last).where(F.col("_commit_timestamp") >= F.lit(start))
+        state = self._state()
+        last = state.newest if end is None else end if isinstance(end, int) else self._version_at(end)
+        first = start if isinstance(start, int) else self._version_at(start - dt.timedelta(microseconds=1)) + 1
+        if state.expired and first <= state.expired:
+            raise ValueError(f"the change feed up to version {state.expired} has expired")
+        return self._changes(first - 1, min(last, state.newest))
 
     def feed_stream(self, start: int = 1, types: list[str] | None = None) -> DataFrame:
         """The change feed as a stream, from version ``start``."""
@@ -166,40 +190,43 @@ class ChangeTable:
         )
         return feed if types is None else feed.where(F.col("_change_type").isin(types))
 
-    def _base(self, upto: int) -> int | None:
-        return self.commits().where(F.col("is_base") & (F.col("version") <= upto)).agg(F.max("version")).first()[0]
-
     def as_of(self, version: int | None = None, timestamp: dt.datetime | None = None) -> DataFrame:
         """Content at a version, or at the newest version committed by ``timestamp``.
 
-        The newest change of each key since the last fold, plus the folded rows that
-        have not changed since. Changes are few next to the fold, so their keys
-        broadcast and the fold is scanned without a shuffle.
+        The base - the newest fold, or version 1, which can only hold inserts - without
+        the keys that changed since, plus the newest change of each of those. Changes
+        are few next to the base, so their keys broadcast and the base is scanned
+        without a shuffle.
         """
-        if version is None:
-            version = self.version() if timestamp is None else self._version_at(timestamp)
-        elif version > self.version():
+        if version is None and timestamp is not None:
+            version = self._version_at(timestamp)
+        state = self._state(upto=version)
+        version = state.newest if version is None else version
+        if version > state.newest:
             raise ValueError(f"version {version} does not exist yet")
-        base = self._base(version)
-        if base is None and self._base(self.version()) is not None:
+        if version < state.expired:
             raise ValueError(f"version {version} has expired")
-        changes = self._changes(base or 0, version).where("_change_type <> 'update_preimage'")
+        if state.base:
+            base = state.base
+            rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/_version={base}")
+        else:
+            base = min(version, 1)
+            rows = self._changes(0, base)
+        rows = rows.select(self.columns)
+        if version == base:
+            return rows
+        changes = self._changes(base, version).where("_change_type <> 'update_preimage'")
         newest = latest_per_key(changes, self.keys, [F.col("_commit_version").desc()])
         live = newest.where("_change_type <> 'delete'").select(self.columns)
-        if base is None:
-            return live
-        folded = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/_version={base}")
-        if base == version:
-            return folded.select(self.columns)
-        touched = changes.select(self.keys).distinct()
-        return folded.join(touched, self.keys, "left_anti").select(self.columns).unionByName(live)
+        return rows.join(self.touched(base, version), self.keys, "left_anti").select(self.columns).unionByName(live)
 
     def current(self) -> DataFrame:
         return self.as_of()
 
     def history(self) -> DataFrame:
         """One row per version with its operation and its change counts."""
-        counts = self.feed().groupBy(F.col("_commit_version").alias("version")).agg(
+        state = self._state()
+        counts = self._changes(state.expired, state.newest).groupBy(F.col("_commit_version").alias("version")).agg(
             *[
                 F.count_if(F.col("_change_type") == kind).alias(name)
                 for kind, name in [
@@ -213,14 +240,24 @@ class ChangeTable:
 
     # -- maintenance -----------------------------------------------------------
 
+    def net_changes(self, other: DataFrame, keys: DataFrame) -> DataFrame:
+        """The changes that turn the current content into ``other``, looking at ``keys`` only."""
+        ours = self.current().join(keys, self.keys, "left_semi")
+        return diff_changes(ours, other.join(keys, self.keys, "left_semi"), self.keys)
+
     def restore(self, version: int, **commit) -> int:
-        """Bring back an older content as a new version."""
-        return self.replace_with(self.as_of(version), operation="RESTORE", **commit)
+        """Bring back an older content as a new version.
+
+        Only keys that changed since that version are compared.
+        """
+        keys = self.touched(version, self.version())
+        return self.commit(self.net_changes(self.as_of(version), keys), "RESTORE", **commit)
 
     def fold(self, version: int | None = None) -> int:
         """Write the full content of a version, so later reads start from there."""
-        version = self.version() if version is None else version
-        if self._base(version) != version:
+        state = self._state(upto=version)
+        version = state.newest if version is None else version
+        if state.base != version:
             self.as_of(version).write.mode("overwrite").parquet(f"{self.path}/base/_version={version}")
             self._record(version, "FOLD", None, None, True, dt.datetime.now(dt.timezone.utc))
         return version
@@ -230,29 +267,47 @@ class ChangeTable:
         """Drop what only versions older than the limit need; returns the oldest kept one.
 
         Fewer than seven days is refused unless forced. Afterwards the older versions
-        can no longer be read, and neither can their part of the change feed.
+        can no longer be read, and neither can their part of the change feed. The rows
+        are gone from storage: their files are overwritten with empty ones.
         """
         if older_than_hours < RETENTION_HOURS and not force:
             raise ValueError(f"retention below {RETENTION_HOURS} hours needs force=True")
         now = now or dt.datetime.now(dt.timezone.utc)
         oldest = self._version_at(now - dt.timedelta(hours=older_than_hours))
-        if oldest == 0:
-            return 1
+        expired = self._state().expired
+        if oldest <= expired:
+            return max(expired, 1)
         self.fold(oldest)
-        folders = self.spark._jvm.org.apache.hadoop.fs
-        for kind, keep in [("changes/_commit_version=", oldest + 1), ("base/_version=", oldest)]:
-            parent = folders.Path(f"{self.path}/{kind.split('/')[0]}")
-            system = parent.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            for status in system.listStatus(parent):
-                name = status.getPath().getName()
-                if "=" in name and int(name.split("=")[1]) < keep:
-                    system.delete(status.getPath(), True)
+        self._record(oldest, "EXPIRE", None, None, True, now)
+        stale = self.commits().where(F.col("version").between(expired, oldest) & (F.col("operation") != "EXPIRE"))
+        for version, is_base in stale.select("version", "is_base").distinct().collect():
+            if not is_base:
+                self._empty(self._feed_schema(), f"changes/_commit_version={version}")
+            elif version < oldest:
+                self._empty(self.schema, f"base/_version={version}")
         return oldest
 
+    def _empty(self, schema: T.StructType, folder: str) -> None:
+        columns = [f for f in schema.fields if f.name != "_commit_version"]
+        nothing = self.spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in columns])
+        nothing.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+
 
-def sync_copy(source: DataFrame, copy: ChangeTable) -> int:
-    """Bring an independent full copy up to date; the first run copies everything."""
-    return copy.replace_with(source, operation="CLONE")
+def sync_copy(source: DataFrame | ChangeTable, copy: ChangeTable) -> int:
+    """Bring an independent full copy up to date; the first run copies everything.
+
+    A copy of a change table then only looks at the keys that changed since the last
+    run; any other source is compared as a whole.
+    """
+    if isinstance(source, DataFrame):
+        return copy.replace_with(source, operation="CLONE")
+    seen = copy.commits().where("operation = 'CLONE'").agg(F.max("batch")).first()[0]
+    newest = source.version()
+    if seen is None:
+        changes = diff_changes(copy.current(), source.current(), copy.keys)
+    else:
+        changes = copy.net_changes(source.current(), source.touched(seen, newest))
+    return copy.commit(changes, "CLONE", writer="clone", batch=newest)
 
 
 def lost_rows(older: DataFrame, newer: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import delete_rows
+from millrace.operators import delete_rows, lookup_join
 from millrace.plans.inputs import Tables, countries
 from millrace.queries.registry import query
 from millrace.session import new_folder
@@ -190,8 +190,13 @@ def event_envelopes(t: Tables) -> DataFrame:
     )
 
 
-@query("J2 S11", "SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS country FROM nation")
+@query("J2 S11", """
+    SELECT c_custkey, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
 def country_lookup_file(t: Tables) -> DataFrame:
+    """Customers joined with a country lookup read from JSON, broadcast after a size check."""
     folder = new_folder(t.spark, "countries")
     countries(t).write.json(folder)
-    return t.spark.read.schema("code STRING, country STRING").json(folder)
+    lookup = t.spark.read.schema("code STRING, country STRING").json(folder)
+    rows = t.customer.select("c_custkey", F.col("c_nationkey").cast("string").alias("country_code"))
+    return lookup_join(rows, lookup, F.col("country_code") == F.col("code")).select("c_custkey", "country")

@@ -199,11 +199,11 @@ def current_books(t: Tables) -> DataFrame:
     return current_rows(_book_history(t))
 
 
-@query("D13 W7", "SELECT n_nationkey, n_name FROM nation")
+@query("D13 W7", "SELECT s_suppkey, s_name FROM supplier")
 def static_lookup(t: Tables) -> DataFrame:
     """A type 0 dimension: appended once, never changed."""
     folder = new_folder(t.spark, "type0")
-    t.nation.select("n_nationkey", "n_name").write.mode("append").parquet(folder)
+    t.supplier.select("s_suppkey", "s_name").write.mode("append").parquet(folder)
     return t.spark.read.parquet(folder)
 
 

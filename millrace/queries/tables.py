@@ -130,16 +130,16 @@ def overwritten_then_appended(t: Tables) -> DataFrame:
     return t.spark.table(f"{db}.orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("W15", "SELECT count(*) * 2 AS row_count FROM nation")
+@query("W15", "SELECT count(*) * 2 AS row_count FROM orders")
 def refreshed_table(t: Tables) -> DataFrame:
     """Files added behind the catalog's back are seen after a refresh."""
-    db, folder = _schema(t), new_folder(t.spark, "nations")
-    t.nation.write.parquet(folder)
-    t.spark.sql(f"CREATE TABLE {db}.nations USING parquet LOCATION '{folder}'")
-    t.spark.table(f"{db}.nations").count()
-    t.nation.write.mode("append").parquet(folder)
-    t.spark.sql(f"REFRESH TABLE {db}.nations")
-    return t.spark.table(f"{db}.nations").agg(F.count(F.lit(1)).alias("row_count"))
+    db, folder = _schema(t), new_folder(t.spark, "orders")
+    t.orders.write.parquet(folder)
+    t.spark.sql(f"CREATE TABLE {db}.orders USING parquet LOCATION '{folder}'")
+    t.spark.table(f"{db}.orders").count()
+    t.orders.write.mode("append").parquet(folder)
+    t.spark.sql(f"REFRESH TABLE {db}.orders")
+    return t.spark.table(f"{db}.orders").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query("W16", """

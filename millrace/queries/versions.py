@@ -39,10 +39,14 @@ def _parts(t: Tables) -> DataFrame:
 def _versioned(t: Tables) -> ChangeTable:
     table = ChangeTable(t.spark, new_folder(t.spark, "parts"), SCHEMA, ["p_partkey"])
     table.insert(_parts(t))
+    _raise_and_delete(t, table)
+    return table
+
+
+def _raise_and_delete(t: Tables, table: ChangeTable) -> None:
     promo = t.part.where("p_type = 'PROMO'").select("p_partkey")
     table.merge(promo, ["p_partkey"], [Update({"p_retailprice": "t.p_retailprice + 5"})], operation="UPDATE")
     table.delete(table.current().where("p_size > 40"))
-    return table
 
 
 def _without_time(feed: DataFrame) -> DataFrame:
@@ -131,11 +135,13 @@ def expired(t: Tables) -> DataFrame:
 
 @query("D20", f"SELECT *, CAST(2 AS BIGINT) AS copy_version FROM ({V3})")
 def synced_copy(t: Tables) -> DataFrame:
-    """A full copy made of version 1 and brought up to date with a second call."""
-    table = _versioned(t)
+    """A full copy, brought up to date with a second call after the source has changed."""
+    table = ChangeTable(t.spark, new_folder(t.spark, "parts"), SCHEMA, ["p_partkey"])
     copy = ChangeTable(t.spark, new_folder(t.spark, "copy"), SCHEMA, ["p_partkey"])
-    sync_copy(table.as_of(1), copy)
-    sync_copy(table.current(), copy)
+    table.insert(_parts(t))
+    sync_copy(table, copy)
+    _raise_and_delete(t, table)
+    sync_copy(table, copy)
     return copy.current().withColumn("copy_version", F.lit(copy.version()).cast("bigint"))
 
 

@@ -31,14 +31,23 @@ def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], check
     """Run ``write(micro_batch, batch_id)`` for every micro-batch.
 
     The micro-batch is kept for the duration of the call, since upserts read it more
-    than once; a lost copy is recomputed from the stream's logged offsets.
+    than once; a lost copy is recomputed from the stream's logged offsets. Counting it
+    first moves the stream's state on even if ``write`` skips a replayed batch, and
+    tells the planner how small it is. Streams with state switch adaptive planning off
+    for their own plan; the batch plans inside ``write`` get it back, so that they can
+    split hot partitions.
     """
 
     def keep_and_write(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        adaptive = conf.get("spark.sql.adaptive.enabled")
         batch.persist()
         try:
+            batch.count()
+            conf.set("spark.sql.adaptive.enabled", "true")
             write(batch, batch_id)
         finally:
+            conf.set("spark.sql.adaptive.enabled", adaptive)
             batch.unpersist()
 
     return run_available_now(stream.writeStream.outputMode(mode).foreachBatch(keep_and_write), checkpoint)
