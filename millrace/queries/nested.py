@@ -241,7 +241,7 @@ def stamped_orders(t: Tables) -> DataFrame:
     )
 
 
-@query("Y1 Y2 F7 F11 X9", """
+@query("Y1 Y2 Y3 F7 F11 X9", """
     SELECT page_id, 'https://www.' || host AS address,
            CASE WHEN host LIKE '%.com' THEN 'commercial' WHEN host LIKE '%.org' THEN 'organisation'
                 ELSE 'other: ' || host END AS category
@@ -264,6 +264,7 @@ def sql_udf_case(t: Tables) -> DataFrame:
     result = t.pages.select("page_id", host.alias("host")).selectExpr(
         "page_id", f"host_address_{tag}(host) AS address", f"host_category_{tag}(host) AS category"
     )
+    spark.sql(f"DESCRIBE FUNCTION EXTENDED host_category_{tag}")
     spark.sql(f"DROP FUNCTION host_address_{tag}")
     spark.sql(f"DROP FUNCTION host_category_{tag}")
     return result

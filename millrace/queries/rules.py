@@ -124,7 +124,7 @@ def _policy(t: Tables, group: str) -> DataFrame:
     return row_policy(redacted, allowed, "country = 'NATION_7' AND c_acctbal > 0")
 
 
-@query("G1 G4", f"""
+@query("G1 G4 X18", f"""
     WITH {MEMBERS_SQL}, {CUSTOMERS_SQL}
     SELECT c_custkey, 'REDACTED' AS c_name, country, 'REDACTED' AS c_mktsegment, c_acctbal FROM view_rows
 """)

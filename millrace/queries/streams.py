@@ -83,6 +83,31 @@ def window_stats_stream(t: Tables) -> DataFrame:
     return _ntz(append_to(stats, f"{folder}/table", f"{folder}/checkpoint"), "window_start", "window_end")
 
 
+@query("R9 R8 R12", f"""
+    WITH late_free AS (SELECT * FROM events WHERE ts >= TIMESTAMP '{EVENT_CUT}')
+    SELECT * FROM (
+        SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(event_id) AS events
+        FROM late_free GROUP BY 1, 2
+    ) WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM late_free) - INTERVAL '10 minutes'
+""")
+def late_events(t: Tables) -> DataFrame:
+    """The older half of the events arrives last, behind the watermark, and is not counted."""
+    folder = new_folder(t.spark, "late")
+    recent = F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp")
+    events = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    for part in (recent, ~recent):
+        events.where(part).write.mode("append").parquet(f"{folder}/events")
+        arriving = t.spark.readStream.schema(events.schema).parquet(f"{folder}/events")
+        counts = (
+            arriving.withWatermark("ts", "10 minutes")
+            .groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
+            .agg(F.count("event_id").alias("events"))
+            .select(F.col("w.start").alias("window_start"), "event_type", "events")
+        )
+        result = append_to(counts, f"{folder}/table", f"{folder}/checkpoint")
+    return _ntz(result, "window_start")
+
+
 @query("R4 R2 R10 W10 K11 S13", """
     SELECT p_brand AS author, count(p_partkey) AS total_books FROM part GROUP BY p_brand
 """)
