@@ -129,20 +129,23 @@ def _as_number(column: str, kind: T.DataType) -> Column:
     return F.col(column).cast("double")
 
 
-def _bucket(value: Column, bounds: list[float]) -> Column:
-    """Index of the range a value falls into, as a balanced tree of comparisons."""
+def _search_order(bounds: list[float]) -> list[float]:
+    """Sorted range limits as an implicit search tree: entry ``i`` has the children ``2i`` and ``2i + 1``."""
+    tree = [0.0] * len(bounds)
+    rest = iter(bounds)
 
-    def node(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < bounds[middle], node(low, middle)).otherwise(node(middle + 1, high))
+    def fill(i: int) -> None:
+        if i <= len(bounds):
+            fill(2 * i)
+            tree[i - 1] = next(rest)
+            fill(2 * i + 1)
 
-    return F.when(value.isNull(), F.lit(0)).otherwise(node(0, len(bounds)))
+    fill(1)
+    return tree
 
 
-def z_value(df: DataFrame, columns: list[str], bits: int = 6) -> Column:
-    """Interleaved range numbers of ``columns``.
+def with_z_value(df: DataFrame, columns: list[str], bits: int = 6, name: str = "_z") -> DataFrame:
+    """``df`` plus the interleaved range numbers of ``columns``.
 
     Only the range limits, at most ``2**bits - 1`` per column, come to the driver;
     they are found with the built-in approximate quantiles, so skew and scale of the
@@ -155,13 +158,23 @@ def z_value(df: DataFrame, columns: list[str], bits: int = 6) -> Column:
     marks = df.agg(
         *[F.percentile_approx(n, steps, 10_000).alias(f"q{i}") for i, n in enumerate(numbers)]
     ).first()
+    # walk the search trees one level per step; a column of its own for every level
+    # keeps the generated code small
+    lowest, spots = F.lit(float("-inf")), [f"_spot_{i}" for i in range(len(columns))]
+    values = {f"_value_{i}": F.coalesce(n, lowest) for i, n in enumerate(numbers)}
+    result = df.withColumns(values | {spot: F.lit(1) for spot in spots})
+    trees = [F.lit(_search_order(list(m or [float("inf")] * len(steps)))) for m in marks]
+    for _ in range(bits):
+        result = result.withColumns({
+            spot: 2 * F.col(spot) + (F.col(value) >= F.get(tree, F.col(spot) - 1)).cast("int")
+            for spot, value, tree in zip(spots, values, trees)
+        })
     z = F.lit(0).cast("long")
-    for i, number in enumerate(numbers):
-        bucket = _bucket(number, sorted(set(marks[i] or []))).cast("long")
+    for i, spot in enumerate(spots):
         for bit in range(bits):
-            one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("long"))
-            z = z.bitwiseOR(F.shiftleft(one, bit * len(numbers) + i))
-    return z
+            one = F.shiftright(F.col(spot).cast("long"), bit).bitwiseAND(F.lit(1).cast("long"))
+            z = z.bitwiseOR(F.shiftleft(one, bit * len(spots) + i))
+    return result.withColumn(name, z).drop(*spots, *values)
 
 
 def zorder(df: DataFrame, columns: list[str], files: int, bits: int = 6) -> DataFrame:
@@ -171,7 +184,7 @@ def zorder(df: DataFrame, columns: list[str], files: int, bits: int = 6) -> Data
     equal, very common value still spread over several files. ``df`` must read files
     directly, as that place comes from the scan.
     """
-    marked = df.withColumn("_z", z_value(df, columns, bits)).withColumn("_spread", _row_address())
+    marked = with_z_value(df.withColumn("_spread", _row_address()), columns, bits)
     return (
         marked.repartitionByRange(files, "_z", "_spread")
         .sortWithinPartitions("_z")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 
 from millrace.operators.joins import salted_join
+from millrace.session import read_if_present
 from millrace.streaming.sinks import each_batch
 
 
@@ -23,7 +24,8 @@ def stream_static_join(stream: DataFrame, static: Callable[[], DataFrame], on: C
         batch.join(static(), on, how).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     each_batch(stream, write, checkpoint)
-    return stream.sparkSession.read.parquet(path).drop("batch")
+    schema = stream.join(static(), on, how).schema
+    return read_if_present(stream.sparkSession, path, schema).select(schema.fieldNames())
 
 
 def stream_stream_join(left: DataFrame, right: DataFrame, keys: list[str], salt_from: list[str] | None = None,

@@ -28,7 +28,7 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[
 
 def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
                mode: str = "append") -> StreamingQuery:
-    """Run ``write(micro_batch, batch_id)`` for every micro-batch.
+    """Run ``write(micro_batch, batch_id)`` for every micro-batch that has rows.
 
     The micro-batch is kept for the duration of the call, since upserts read it more
     than once; a lost copy is recomputed from the stream's logged offsets. Counting it
@@ -43,9 +43,9 @@ def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], check
         adaptive = conf.get("spark.sql.adaptive.enabled")
         batch.persist()
         try:
-            batch.count()
-            conf.set("spark.sql.adaptive.enabled", "true")
-            write(batch, batch_id)
+            if batch.count():
+                conf.set("spark.sql.adaptive.enabled", "true")
+                write(batch, batch_id)
         finally:
             conf.set("spark.sql.adaptive.enabled", adaptive)
             batch.unpersist()

@@ -8,7 +8,7 @@ from millrace.operators import (
     file_stats, item_sets, lookup_join, missed_rows, not_null, partition_report, replace_table,
     salted_join, split_valid, table_detail, zorder,
 )
-from millrace.operators.layout import files_of, z_value
+from millrace.operators.layout import files_of, with_z_value
 
 ORDERS = "id STRING, at STRING, quantity INT"
 
@@ -145,11 +145,11 @@ def test_zorder_spreads_one_common_value(spark, folder):
 def test_z_value_orders_strings_dates_and_nulls(spark, folder):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, None)], "s STRING, n INT").selectExpr(
         "s", "n", "date_add(DATE'2024-01-01', n) AS d")
-    z = df.select("s", z_value(df, ["s"], bits=2).alias("zs"), z_value(df, ["d"], bits=2).alias("zd"))
+    z = with_z_value(with_z_value(df, ["s"], bits=2, name="zs"), ["d"], bits=2, name="zd")
     got = {r.s: (r.zs, r.zd) for r in z.collect()}
     assert got[None] == (0, 0) and got["a"][0] <= got["b"][0] < got["c"][0] and got["a"][1] <= got["c"][1]
     with pytest.raises(ValueError):
-        z_value(df, ["s", "n"], bits=32)
+        with_z_value(df, ["s", "n"], bits=32)
 
 
 def test_archive_before_delete(spark, folder):
