@@ -8,7 +8,9 @@ A change table is a folder with three parquet data sets:
   and a valid stream source.
 * ``base/_version=n`` - the full content as of version n, written by a fold.
 * ``commits`` - one row per finished commit. A version exists for readers once its
-  row is there, so a job that dies half way leaves nothing visible.
+  row is there, so a job that dies half way leaves nothing visible. (A feed stream that
+  runs between a version's files and its row may see these again after the retry;
+  consumers merge by key, as ours do.)
 
 Each table has one writer at a time; there is no concurrency control. Reads cost one
 pass over the base plus work on the changes since, so a table with many commits
@@ -28,6 +30,7 @@ from millrace.operators.merge import merge_changes
 from millrace.session import read_if_present
 
 CHANGE_COLUMNS = ["_change_type", "_commit_version", "_commit_timestamp"]
+# fixed value: shortest retention that needs no force
 RETENTION_HOURS = 7 * 24
 
 _COMMITS = (

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# fixed values: target file size, least partition size, columns with statistics
 COMPACT_BYTES = 1 << 30
 MIN_PARTITION_BYTES = 1 << 30
 STATISTICS_COLUMNS = 32

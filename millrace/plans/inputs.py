@@ -1,4 +1,4 @@
-"""Bookstore-like inputs derived from the supplied tables.
+"""Inputs of a book shop, derived from the supplied tables.
 
 Parts are the books, brands their authors, nations the countries, order lines the
 ``books`` array of an order, and events the change feed of the customers.
@@ -14,6 +14,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+# fixed values: the payload schemas of the three topics
 ORDER_SCHEMA = (
     "order_id STRING, order_timestamp TIMESTAMP, customer_id STRING, quantity BIGINT, total BIGINT, "
     "books ARRAY<STRUCT<book_id: STRING, quantity: BIGINT, subtotal: BIGINT>>"

@@ -183,13 +183,13 @@ def basket_filter(t: Tables) -> DataFrame:
 
 @query("X7 F12", f"""
     WITH {DOCS}
-    SELECT order_id, list_sort(list(CAST(trunc(subtotal * 0.8) AS INTEGER))) AS discounted
+    SELECT order_id, list_sort(list(CAST(trunc(subtotal * 0.8) AS BIGINT))) AS discounted
     FROM docs GROUP BY order_id
 """)
 def basket_discount(t: Tables) -> DataFrame:
     return order_documents(t).select(
         "order_id",
-        F.array_sort(F.transform("books", lambda b: (b.subtotal * F.lit(0.8)).cast("int"))).alias("discounted"),
+        F.array_sort(F.transform("books", lambda b: (b.subtotal * F.lit(0.8)).cast("bigint"))).alias("discounted"),
     )
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.plans.inputs import Tables
+from millrace.session import apply_settings
 
 
 @dataclass(frozen=True)
@@ -18,7 +19,7 @@ class Query:
     sql: str | None
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        apply_settings(spark)
         return self.build(Tables(spark, folder))
 
 

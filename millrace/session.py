@@ -18,9 +18,44 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PARTITION_BYTES = 128 << 20
+UNSET_PARTITIONS = "200"
+
 _local_roots: dict[str, str] = {}
 
 
+def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a run whose largest shuffle moves about ``shuffle_bytes``.
+
+    Shuffle partitions start at 128 MB each, so that a task's share fits in memory, and
+    adaptive execution joins the small ones. Streaming state goes to disk-backed stores;
+    their number is fixed when a checkpoint is first used, so set this before.
+    """
+    partitions = min(max(200, -(-shuffle_bytes // PARTITION_BYTES)), 200_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(2 * PARTITION_BYTES),
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+    }
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """Give a session made elsewhere the library's settings.
+
+    Its number of shuffle partitions is only touched if nobody has chosen one: one per
+    core in local mode, three per core on a cluster with many.
+    """
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    if spark.conf.get("spark.sql.shuffle.partitions") == UNSET_PARTITIONS:
+        context = spark.sparkContext
+        cores = context.defaultParallelism
+        wanted = cores if context.master.startswith("local") else max(int(UNSET_PARTITIONS), 3 * cores)
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def build_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's settings; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)

@@ -1,4 +1,4 @@
-"""Ways to end a stream. All run what is available and then return."""
+"""Ways to end a stream. Unless said otherwise they run what is available and then return."""
 
 from __future__ import annotations
 
@@ -17,6 +17,11 @@ def run_available_now(writer: DataStreamWriter, checkpoint: str) -> StreamingQue
     return query
 
 
+def run_every(writer: DataStreamWriter, checkpoint: str, interval: str) -> StreamingQuery:
+    """Start ``writer`` with a batch every ``interval`` and return the running query."""
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> DataFrame:
     """Append the stream to a parquet folder; returns that folder as a batch frame."""
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
@@ -53,8 +58,8 @@ def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], check
     return run_available_now(stream.writeStream.outputMode(mode).foreachBatch(keep_and_write), checkpoint)
 
 
-def complete_to(stream: DataFrame, name: str, folder: str, checkpoint: str) -> DataFrame:
-    """Overwrite the table ``name`` with the full result of a streaming aggregate.
+def complete_writer(stream: DataFrame, name: str, folder: str) -> DataStreamWriter:
+    """A writer that overwrites the table ``name`` with the full result of a streaming aggregate.
 
     The snapshot is named after the batch, so a replayed batch writes over itself.
     """
@@ -62,7 +67,12 @@ def complete_to(stream: DataFrame, name: str, folder: str, checkpoint: str) -> D
     def write(batch: DataFrame, batch_id: int) -> None:
         replace_table(batch, name, folder, snapshot=f"{batch_id:012d}")
 
-    run_available_now(stream.writeStream.outputMode("complete").foreachBatch(write), checkpoint)
+    return stream.writeStream.outputMode("complete").foreachBatch(write)
+
+
+def complete_to(stream: DataFrame, name: str, folder: str, checkpoint: str) -> DataFrame:
+    """Bring the table ``name`` up to date with a streaming aggregate and return it."""
+    run_available_now(complete_writer(stream, name, folder), checkpoint)
     return stream.sparkSession.table(name)
 
 
