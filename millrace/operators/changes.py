@@ -25,11 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.joins import checked_broadcast
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import merge_changes
 from millrace.session import read_if_present
 
-CHANGE_COLUMNS = ["_change_type", "_commit_version", "_commit_timestamp"]
+# keys of recent changes are broadcast up to this number
+BROADCAST_KEYS = 1_000_000
+# versions read by naming their folders, rather than by a filter on all of them
+NAMED_FOLDERS = 1_000
 # fixed value: shortest retention that needs no force
 RETENTION_HOURS = 7 * 24
 
@@ -41,6 +45,7 @@ _COMMITS = (
     .add("writer", T.StringType())
     .add("batch", T.LongType())
     .add("is_base", T.BooleanType())
+    .add("changes_so_far", T.LongType())
 )
 
 
@@ -92,26 +97,34 @@ class ChangeTable:
         return read_if_present(self.spark, f"{self.path}/commits", _COMMITS)
 
     def _record(self, version: int, operation: str, writer: str | None, batch: int | None,
-                is_base: bool, at: dt.datetime) -> None:
-        values = [version, at, operation, writer, batch, is_base]
+                is_base: bool, at: dt.datetime, changes_so_far: int) -> None:
+        values = [version, at, operation, writer, batch, is_base, changes_so_far]
         row = self.spark.range(0, 1, 1, 1).select(
             *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _COMMITS.fields)]
         )
         row.write.mode("append").parquet(f"{self.path}/commits")
 
     def _state(self, upto: int | None = None, writer: str | None = None, batch: int | None = None):
-        """Newest version, newest fold (by ``upto``), newest expiry, and a writer's earlier commit."""
-        base = F.col("is_base") if upto is None else F.col("is_base") & (F.col("version") <= upto)
+        """What the commits (by ``upto``) say, as one row.
+
+        Newest version, newest fold and expiry, a writer's earlier commit, and the number
+        of change rows up to the newest version, to the base and to version 1.
+        """
+        is_commit = ~F.col("is_base")
+        in_range = F.lit(True) if upto is None else F.col("version") <= upto
         mine = (F.col("writer") == F.lit(writer)) & (F.col("batch") == F.lit(batch))
 
-        def newest(condition):
-            return F.coalesce(F.max(F.when(condition, F.col("version"))), F.lit(0))
+        def newest(condition, column="version"):
+            return F.coalesce(F.max(F.when(condition, F.col(column))), F.lit(0))
 
         return self.commits().agg(
-            newest(~F.col("is_base")).alias("newest"),
-            newest(base).alias("base"),
+            newest(is_commit).alias("newest"),
+            newest(F.col("is_base") & in_range).alias("base"),
             newest(F.col("operation") == "EXPIRE").alias("expired"),
             newest(mine).alias("done"),
+            newest(is_commit & in_range, "changes_so_far").alias("changes"),
+            newest(F.col("is_base") & in_range, "changes_so_far").alias("changes_to_base"),
+            newest(is_commit & (F.col("version") == 1), "changes_so_far").alias("changes_to_first"),
         ).first()
 
     def version(self) -> int:
@@ -130,13 +143,15 @@ class ChangeTable:
             return state.done
         version = state.newest + 1
         at = at or dt.datetime.now(dt.timezone.utc)
+        folder = f"{self.path}/changes/_commit_version={version}"
         (
             changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], "_change_type")
             .withColumn("_commit_timestamp", F.lit(at))
             .write.mode("overwrite")
-            .parquet(f"{self.path}/changes/_commit_version={version}")
+            .parquet(folder)
         )
-        self._record(version, operation, writer, batch, False, at)
+        written = self.spark.read.schema("_change_type STRING").parquet(folder).count()
+        self._record(version, operation, writer, batch, False, at, state.changes + written)
         if self.fold_every and version - max(state.base, 1) >= self.fold_every:
             self.fold(version)
         return version
@@ -163,9 +178,18 @@ class ChangeTable:
         return T.StructType(self.schema.fields + extra.fields)
 
     def _changes(self, after: int, upto: int) -> DataFrame:
-        rows = read_if_present(self.spark, f"{self.path}/changes", self._feed_schema())
-        version = F.col("_commit_version")
-        return rows.where((version > after) & (version <= upto))
+        """Change rows of the versions ``after < v <= upto``.
+
+        Naming the folders gives the planner the size of just these versions.
+        """
+        root, schema = f"{self.path}/changes", self._feed_schema()
+        if upto <= after:
+            return self.spark.createDataFrame([], schema)
+        if upto - after > NAMED_FOLDERS:
+            version = F.col("_commit_version")
+            return self.spark.read.schema(schema).parquet(root).where((version > after) & (version <= upto))
+        folders = [f"{root}/_commit_version={v}" for v in range(after + 1, upto + 1)]
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders)
 
     def _version_at(self, moment: dt.datetime) -> int:
         seen = self.commits().where(~F.col("is_base") & (F.col("committed_at") <= F.lit(moment)))
@@ -210,10 +234,10 @@ class ChangeTable:
         if version < state.expired:
             raise ValueError(f"version {version} has expired")
         if state.base:
-            base = state.base
+            base, since = state.base, state.changes - state.changes_to_base
             rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/_version={base}")
         else:
-            base = min(version, 1)
+            base, since = min(version, 1), state.changes - state.changes_to_first
             rows = self._changes(0, base)
         rows = rows.select(self.columns)
         if version == base:
@@ -221,7 +245,9 @@ class ChangeTable:
         changes = self._changes(base, version).where("_change_type <> 'update_preimage'")
         newest = latest_per_key(changes, self.keys, [F.col("_commit_version").desc()])
         live = newest.where("_change_type <> 'delete'").select(self.columns)
-        return rows.join(self.touched(base, version), self.keys, "left_anti").select(self.columns).unionByName(live)
+        touched = self.touched(base, version)
+        touched = F.broadcast(touched) if since <= BROADCAST_KEYS else touched
+        return rows.join(touched, self.keys, "left_anti").select(self.columns).unionByName(live)
 
     def current(self) -> DataFrame:
         return self.as_of()
@@ -245,6 +271,7 @@ class ChangeTable:
 
     def net_changes(self, other: DataFrame, keys: DataFrame) -> DataFrame:
         """The changes that turn the current content into ``other``, looking at ``keys`` only."""
+        keys = checked_broadcast(keys, BROADCAST_KEYS)
         ours = self.current().join(keys, self.keys, "left_semi")
         return diff_changes(ours, other.join(keys, self.keys, "left_semi"), self.keys)
 
@@ -262,7 +289,7 @@ class ChangeTable:
         version = state.newest if version is None else version
         if state.base != version:
             self.as_of(version).write.mode("overwrite").parquet(f"{self.path}/base/_version={version}")
-            self._record(version, "FOLD", None, None, True, dt.datetime.now(dt.timezone.utc))
+            self._record(version, "FOLD", None, None, True, dt.datetime.now(dt.timezone.utc), state.changes)
         return version
 
     def expire(self, older_than_hours: float = RETENTION_HOURS, force: bool = False,
@@ -277,11 +304,12 @@ class ChangeTable:
             raise ValueError(f"retention below {RETENTION_HOURS} hours needs force=True")
         now = now or dt.datetime.now(dt.timezone.utc)
         oldest = self._version_at(now - dt.timedelta(hours=older_than_hours))
-        expired = self._state().expired
+        state = self._state(upto=oldest)
+        expired = state.expired
         if oldest <= expired:
             return max(expired, 1)
         self.fold(oldest)
-        self._record(oldest, "EXPIRE", None, None, True, now)
+        self._record(oldest, "EXPIRE", None, None, True, now, state.changes)
         stale = self.commits().where(F.col("version").between(expired, oldest) & (F.col("operation") != "EXPIRE"))
         for version, is_base in stale.select("version", "is_base").distinct().collect():
             if not is_base:

@@ -13,6 +13,11 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a count shows that it is small, else as it is."""
+    return F.broadcast(df) if small(df, max_rows) else df
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, on: Column | list[str], how: str = "inner",
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a lookup table, broadcast only after its size has been checked.
@@ -20,8 +25,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: Column | list[str], how: s
     A larger lookup is joined without a hint; Spark then shuffles both sides and
     splits hot partitions at run time.
     """
-    side = F.broadcast(lookup) if small(lookup, max_rows) else lookup
-    return df.join(side, on, how)
+    return df.join(checked_broadcast(lookup, max_rows), on, how)
 
 
 def salted_join(many: DataFrame, few: DataFrame, keys: list[str], salt_from: list[str],

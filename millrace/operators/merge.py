@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import small
 from millrace.operators.latest import latest_per_key
 
 
@@ -187,14 +188,23 @@ def merge_rows(
     matched: Sequence[Update | Delete] = (),
     not_matched: Sequence[Insert] = (),
     row_key: Sequence[str] | None = None,
+    check_source: bool = False,
 ) -> DataFrame:
-    """The target's content after the MERGE; arguments as in ``merge_changes``."""
-    row_key = list(row_key or [a for a, _ in _key_pairs(on)])
+    """The target's content after the MERGE; other arguments as in ``merge_changes``.
+
+    ``check_source`` counts the source first. If it is small and its key identifies
+    target rows, the changes are just as few and are broadcast, which saves shuffling
+    the target.
+    """
+    keys = [a for a, _ in _key_pairs(on)]
+    row_key = list(row_key or keys)
     result = target
     if matched:
         changed = _effects(target, source, on, matched, row_key).select(
             *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(row_key)], "_after", "_gone"
         )
+        if check_source and set(row_key) == set(keys) and small(source):
+            changed = F.broadcast(changed)
         same_row = reduce(
             lambda a, b: a & b, [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(row_key)]
         )

@@ -70,6 +70,7 @@ def merge_fill_missing(t: Tables) -> DataFrame:
             Update({"email": "s.email", "updated": "s.updated"}, when="t.email IS NULL AND s.email IS NOT NULL")
         ],
         not_matched=[Insert()],
+        check_source=True,
     )
 
 
