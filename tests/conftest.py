@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__checkpoint__dir=str(shared), spark__sql__warehouse__dir=str(shared / "warehouse"),
         spark__driver__memory="4g",
     )

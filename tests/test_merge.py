@@ -131,7 +131,7 @@ def brute_merge(target, source):
 states = st.dictionaries(st.integers(0, 8), st.tuples(st.integers(0, 5), st.integers(0, 99)), max_size=8)
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(states, states)
 def test_merge_equals_brute_force_and_its_changes(spark, target, source):
     schema = "id INT, ts INT, v INT"
