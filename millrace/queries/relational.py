@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import assert_unique, item_sets, key_counts, latest_per_key, lookup_join  # noqa: F401
+from millrace.operators import key_counts, latest_per_key, lookup_join
 from millrace.plans.inputs import Tables, cents, order_lines
 from millrace.queries.registry import query
 

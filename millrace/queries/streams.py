@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import ChangeTable, latest_per_key, missed_rows, newest_wins
-from millrace.plans.feeds import EVENT_CUT, ORDER_CUT, message_batches  # noqa: F401
+from millrace.plans.feeds import EVENT_CUT, ORDER_CUT, message_batches
 from millrace.plans.inputs import Tables, countries, customer_profiles, order_documents
 from millrace.plans.medallion import Medallion, daily_by_country
 from millrace.plans.multihop import MultiHop
