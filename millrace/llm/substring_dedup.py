@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.arrow import batches_of
 from millrace.llm.common import registered, shuffle_partitions, table
 from millrace.llm.words import U64, ByteHash, Words, covered, from_planes, planes
 
@@ -101,18 +102,6 @@ class _Chunk:
                        "counts": b"", "keys": b"", "again": b"", "places": planes(places[i:j])}
 
 
-def _batches(rows: Iterator[dict], schema: pa.Schema, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for row in rows:
-        held.append(row)
-        size += sum(len(v) for v in row.values() if isinstance(v, bytes))
-        if size > most or len(held) >= 4096:
-            yield pa.RecordBatch.from_pylist(held, schema=schema)
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema=schema)
-
-
 def _window_entries(buckets: int, window: int):
     def run(batches):
         def rows():
@@ -124,7 +113,7 @@ def _window_entries(buckets: int, window: int):
                     chunk = _Chunk(buckets)
             yield from chunk.rows()
 
-        return _batches(rows(), _ENTRY_SCHEMA)
+        return batches_of(rows(), _ENTRY_SCHEMA)
 
     return run
 
@@ -176,7 +165,7 @@ def _answers(batches) -> Iterator[pa.RecordBatch]:
             held.append(row)
     if held:
         take(_repeated(held))
-    yield from _batches(
+    yield from batches_of(
         ({"text_key": k, "places": planes(np.unique(np.concatenate(v)))} for k, v in told.items()), _ANSWER_SCHEMA
     )
 

@@ -27,14 +27,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class ByteHash:
-    """A polynomial hash of words over a table of 64-bit byte values, modulo 2**64."""
+    """A polynomial hash of words over a table of 64-bit byte values, modulo 2**64.
 
-    def __init__(self, seed: int, lower: bool = False):
+    ``lower`` equates A-Z with a-z; ``white`` tells white space apart, for ranges that hold some.
+    """
+
+    def __init__(self, seed: int, lower: bool = False, white: bool = False):
         rank = np.arange(256, dtype=U64)
         if lower:
             rank[ord("A"):ord("Z") + 1] = rank[ord("a"):ord("z") + 1]
         self.table = mix(rank * U64(0x9E3779B97F4A7C15) + U64(seed))
-        self.table[_SPACE] = 0
+        if not white:
+            self.table[_SPACE] = 0
         base = (int(mix(np.array([seed], dtype=U64))[0]) & ~7) | 3
         self.base, self.inverse = U64(base), U64(pow(base, -1, 1 << 64))
         self.window_base = U64((int(mix(np.array([seed + 1], dtype=U64))[0]) & ~7) | 3)
