@@ -22,7 +22,7 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 #: Spreads above the median, the smallest group with limits of its own, the sketches' accuracy.
 SPREADS, LEAST, ACCURACY = 6, 30, 10_000
 #: Measures and their floors: shares of symbols a word, of repeated lines, of repeated words, word length.
-FLOORS = {"symbol_share": 0.1, "dup_line_share": 0.3, "repeat_share": 0.2, "word_length": 12.0}
+FLOORS = {"symbol_share": 0.1, "dup_line_share": 0.5, "repeat_share": 0.3, "word_length": 12.0}
 
 _HASH = ByteHash(41)
 _SYMBOL = np.zeros(256, dtype=bool)
