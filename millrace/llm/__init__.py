@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
 
-from millrace.llm import jaccard_join, packing, quality, substring_dedup, token_store  # noqa: F401
+from millrace.llm import jaccard_join, packing, quality, substring_dedup, token_store, toxicity  # noqa: F401
 from millrace.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
