@@ -16,7 +16,7 @@ U64 = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes hashed at once; only a single longer word makes a block larger.
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -110,11 +110,14 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of a batch of texts: byte ranges, and the first word of each text."""
+    """The words of a batch of texts: byte ranges, and the first word of each text.
 
-    def __init__(self, column: pa.Array):
+    ``separators`` tells for each byte value whether it parts words; white space by default.
+    """
+
+    def __init__(self, column: pa.Array, separators: np.ndarray = _SPACE):
         self.data, self.offsets = column_bytes(column)
-        space = _SPACE[self.data]
+        space = separators[self.data]
         inner = self.offsets[(self.offsets > 0) & (self.offsets < len(space))]
         before, after = np.ones(len(space), dtype=bool), np.ones(len(space), dtype=bool)
         before[1:], after[:-1] = space[:-1], space[1:]
