@@ -1,7 +1,7 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
 
 from millrace.llm import (  # noqa: F401
-    decontamination, jaccard_join, packing, quality, substring_dedup, token_store, toxicity,
+    decontamination, jaccard_join, packing, pii, quality, substring_dedup, token_store, toxicity,
 )
 from millrace.llm.common import ORACLES, QUERIES
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrow import batches_of
 from millrace.llm.common import kept, registered, table
+from millrace.llm.fitting import regression
 
 #: The labelled rows that the lexicon and the model are fitted on, at most.
 TRAIN_ROWS = 40_000
@@ -275,20 +276,6 @@ def learn_terms(rows: DataFrame, toxic: int, clean: int) -> list[str]:
     return sorted(t for t in good if not t.endswith("*") or not any(t[:n] + "*" in stems for n in STEMS if n < len(t) - 1))
 
 
-def _regression(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights and bias of a logistic regression, by Newton steps; the bias carries no penalty."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    penalty = np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
-        w += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows; without toxic ones every text gets a low score."""
     rows = kept(training_rows(docs, labels), "toxicity-training")
@@ -308,7 +295,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         exact = odds.get((t, 0), 0.0)
         for e in range(1, edits_of(t.rstrip("*"), t.endswith("*")) + 1):
             odds.setdefault((t, e), max(0.0, exact - 1.0 * e))
-    w = _regression(np.array([features(f, odds) for _, f in per_text]), np.array([float(y == 1) for y, _ in per_text]))
+    w = regression(np.array([features(f, odds) for _, f in per_text]), np.array([float(y == 1) for y, _ in per_text]))
     return Model(terms, odds, [float(v) for v in w[:-1]], float(w[-1]))
 
 
