@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import registered, table
-from millrace.llm.words import U64, ByteHash, Words
+from millrace.llm.words import SIGNS, U64, ByteHash, Words
 
 #: Words of the seeds that bring a document and an item together, and of the shortest tile.
 SEED, LEAST = 5, 5
@@ -30,12 +30,10 @@ COVERAGE = 0.6
 BLOCK_BYTES = 16 << 20
 
 _HASH = ByteHash(61)
-#: What parts words: ASCII signs and white space. Other characters are parts of words.
-_SIGNS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 
 
 def normal_words(column: pa.Array) -> Words:
-    return Words(pc.utf8_lower(column), _SIGNS)
+    return Words(pc.utf8_lower(column), SIGNS)
 
 
 def tiles(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
