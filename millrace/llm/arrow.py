@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 
 def batches_of(rows: Iterator[dict], schema: pa.Schema, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -18,3 +19,14 @@ def batches_of(rows: Iterator[dict], schema: pa.Schema, most: int = 8 << 20) ->
             held, size = [], 0
     if held:
         yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def rows_where(df: DataFrame, wanted: Callable[[], Callable[[pa.RecordBatch], list[bool]]]) -> DataFrame:
+    """The rows of ``df`` for which a test made once per task says so, with all their columns as they are."""
+
+    def run(batches):
+        test = wanted()
+        for batch in batches:
+            yield batch.filter(pa.array(test(batch), type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

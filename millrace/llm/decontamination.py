@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.arrow import rows_where
 from millrace.llm.common import registered, table
 from millrace.llm.words import SIGNS, U64, ByteHash, Words
 
@@ -175,6 +176,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         (F.size(enough) > 0).alias("contaminated"))
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that contain no item of the benchmark, unchanged."""
+    context = docs.sparkSession.sparkContext
+    for block in benchmark_blocks(benchmark):
+        held = context.broadcast(block)
+
+        def test(held=held):
+            seeds = Seeds(held.value)
+            return lambda batch: [all(x["coverage"] < coverage for x in found) for found in seeds.coverage(batch.column(text))]
+
+        docs = rows_where(docs, test)
+    return docs
+
+
 @registered()
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with the benchmark items they contain."""

@@ -37,7 +37,7 @@ BASE = {
 #: Candidates beyond the base: handles, numbers with separators, long mixed strings.
 CANDIDATES = {
     "handle": (r"(?:\G|(?<![^\s@]))[^\s@]{1,64}+@[^\s@]{1,64}+", "[@]", "true"),
-    "number": (r"(?:\G|(?<![0-9]))[0-9](?:[\x20().-]?[0-9])++", "[0-9]", "x.digits BETWEEN 7 AND 19"),
+    "number": (r"(?<![0-9A-Za-z])[0-9](?:[\x20().-]?[0-9])++(?![0-9A-Za-z])", "[0-9]", "x.digits BETWEEN 7 AND 19"),
     "secret": (r"(?:\G|(?<![A-Za-z0-9_/+=-]))[A-Za-z0-9_/+=-]{16,}+", "[0-9]",
                "x.digits > 2 AND x.match rlike '[A-Za-z]' AND x.digits * 10 > length(x.match)"),
 }

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import batches_of
+from millrace.llm.arrow import batches_of, rows_where
 from millrace.llm.common import kept, registered, table
 from millrace.llm.fitting import regression
 
@@ -243,12 +243,13 @@ def _found_in(terms: list[str]):
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of at most about TRAIN_ROWS labelled documents outside the held-out quarter."""
-    allowed = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(
+    allowed = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != HELD_OUT)
     allowed = allowed.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     share = min(1.0, TRAIN_ROWS / max(1, allowed.count()))
     chosen = allowed.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # bounded by TRAIN_ROWS
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # bounded by TRAIN_ROWS
 
 
 def learn_terms(rows: DataFrame, toxic: int, clean: int) -> list[str]:
@@ -320,6 +321,16 @@ def scored(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
     return chosen.mapInArrow(run, "doc_id long, score double, hits long, quoted_hits long")
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = PREDICT, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, unchanged."""
+
+    def test():
+        matches = _Matches(Lexicon(model.terms))
+        return lambda batch: [model.score(features(hits(t, matches), model.odds)) < threshold for t in batch.column(text).to_pylist()]
+
+    return rows_where(docs, test)
+
+
 @registered()
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with their toxicity score."""
