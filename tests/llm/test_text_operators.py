@@ -203,7 +203,9 @@ def test_base_spans(spark):
 
 def test_added_spans_and_redaction(spark):
     prepare(spark)
-    secrets = [f'token = "{"".join(random.Random(i).choice("0123456789abcdef") for _ in range(40))}" in use' for i in range(30)]
+    rng = random.Random(9)
+    keys = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(30)]
+    secrets = [f'token = "{key}" in use' for key in keys]
     plain = [f"w{i} is 12 or chapter{i} of part 3" for i in range(200)]
     docs = docs_of(spark, list(enumerate(secrets + plain + ["mail é a@b.cd 1.2.3.4!"])))
     model = pii.fit(docs)
