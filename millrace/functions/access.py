@@ -19,9 +19,12 @@ def is_member(members: DataFrame, group: str, user: Column | None = None) -> Col
 
 
 def redact(df: DataFrame, columns: list[str], allowed: Column, mask: str = "REDACTED") -> DataFrame:
-    """Replace ``columns`` by ``mask`` unless ``allowed`` holds; column order is kept."""
+    """Replace ``columns`` by ``mask`` unless ``allowed`` holds; column order is kept.
+
+    A redacted column is text, whatever its type was, so that every reader gets the same schema.
+    """
     return df.withColumns(
-        {c: F.when(allowed, F.col(c)).otherwise(F.lit(mask)) for c in columns}
+        {c: F.when(allowed, F.col(c).cast("string")).otherwise(F.lit(mask)) for c in columns}
     )
 
 

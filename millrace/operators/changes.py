@@ -10,7 +10,13 @@ A change table is a folder with three parquet data sets:
 * ``commits`` - one row per finished commit. A version exists for readers once its
   row is there, so a job that dies half way leaves nothing visible. (A feed stream that
   runs between a version's files and its row may see these again after the retry;
-  consumers merge by key, as ours do.)
+  consumers merge by key, as ours do.) The row also has the version's change counts,
+  taken while its files were written.
+* ``constraints`` - the table's CHECK constraints, one row per addition or removal.
+
+Keys identify rows; NULL is a key like any other. A commit with two inserts or after-images
+for one key, an insert of a key that is present, or a row that breaks a constraint is
+refused as a whole.
 
 Each table has one writer at a time; there is no concurrency control. Reads cost one
 pass over the base plus work on the changes since, so a table with many commits
@@ -21,14 +27,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.joins import checked_broadcast
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import merge_changes
-from millrace.session import read_if_present
+from millrace.session import ANY_AGE, read_if_present
 
 # keys of recent changes are broadcast up to this number
 BROADCAST_KEYS = 1_000_000
@@ -46,7 +55,18 @@ _COMMITS = (
     .add("batch", T.LongType())
     .add("is_base", T.BooleanType())
     .add("changes_so_far", T.LongType())
+    .add("rows_inserted", T.LongType())
+    .add("rows_updated", T.LongType())
+    .add("rows_deleted", T.LongType())
 )
+_COUNTS = {"rows_inserted": "insert", "rows_updated": "update_postimage", "rows_deleted": "delete"}
+_CONSTRAINTS = "seq BIGINT, name STRING, condition STRING"
+
+
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A semi or anti join on keys that may be NULL."""
+    renamed = right.select([F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])  # a broadcast hint stays on it
+    return left.join(renamed, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]), how)
 
 
 def diff_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,7 +81,7 @@ def diff_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
                        F.struct(*columns).alias("_after"))
     same = F.lit(True)
     for i in range(len(keys)):
-        same = same & (F.col(f"_o{i}") == F.col(f"_n{i}"))
+        same = same & F.col(f"_o{i}").eqNullSafe(F.col(f"_n{i}"))
     pairs = before.join(after, same, "full_outer").where(~F.col("_before").eqNullSafe(F.col("_after")))
 
     def image(kind: str, side: str):
@@ -97,8 +117,9 @@ class ChangeTable:
         return read_if_present(self.spark, f"{self.path}/commits", _COMMITS)
 
     def _record(self, version: int, operation: str, writer: str | None, batch: int | None,
-                is_base: bool, at: dt.datetime, changes_so_far: int) -> None:
-        values = [version, at, operation, writer, batch, is_base, changes_so_far]
+                is_base: bool, at: dt.datetime, changes_so_far: int, counts: dict[str, int] | None = None) -> None:
+        counted = [(counts or {}).get(name, 0) for name in _COUNTS]
+        values = [version, at, operation, writer, batch, is_base, changes_so_far, *counted]
         row = self.spark.range(0, 1, 1, 1).select(
             *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _COMMITS.fields)]
         )
@@ -144,19 +165,69 @@ class ChangeTable:
         version = state.newest + 1
         at = at or dt.datetime.now(dt.timezone.utc)
         folder = f"{self.path}/changes/_commit_version={version}"
-        (
-            changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], "_change_type")
-            .withColumn("_commit_timestamp", F.lit(at))
-            .write.mode("overwrite")
-            .parquet(folder)
-        )
-        written = self.spark.read.schema("_change_type STRING").parquet(folder).count()
-        self._record(version, operation, writer, batch, False, at, state.changes + written)
+        seen = Observation()
+        rows = changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], "_change_type").observe(
+            seen, F.count(F.lit(1)).alias("all"),
+            *[F.count_if(F.col("_change_type") == kind).alias(name) for name, kind in _COUNTS.items()])
+        rows.withColumn("_commit_timestamp", F.lit(at)).write.mode("overwrite").parquet(folder)
+        counts = seen.get
+        self._check(self.spark.read.schema(self._feed_schema()).parquet(folder), state.newest, operation)
+        self._record(version, operation, writer, batch, False, at, state.changes + counts["all"], counts)
         if self.fold_every and version - max(state.base, 1) >= self.fold_every:
             self.fold(version)
         return version
 
+    def _check(self, written: DataFrame, newest: int, operation: str) -> None:
+        """Refuse a version that breaks a rule; without its commit row it does not exist."""
+        stored = written.where("_change_type IN ('insert', 'update_postimage')")
+        twice = stored.groupBy(self.keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").first()
+        if twice is not None:
+            key = {k: twice[k] for k in self.keys}
+            raise ValueError(f"{operation}: several source rows would write one row key, for example {key}")
+        if newest and operation in self._plain_inserts:
+            present = join_keys(stored, self.current(), self.keys, "left_semi").first()
+            if present is not None:
+                key = {k: present[k] for k in self.keys}
+                raise ValueError(f"{operation}: a row with this key exists already, for example {key}")
+        broken = [(name, F.coalesce(~F.expr(condition), F.lit(False))) for name, condition in self.constraints().items()]
+        if broken:
+            found = stored.agg(*[F.count_if(failed).alias(f"_c{i}") for i, (_, failed) in enumerate(broken)]).first()
+            failed = {name: found[i] for i, (name, _) in enumerate(broken) if found[i]}
+            if failed:
+                raise ValueError(f"{operation}: rows break constraints: {failed}")
+
+    #: operations that add rows without looking at those present
+    _plain_inserts = ("WRITE",)
+
+    # -- constraints -----------------------------------------------------------
+
+    def constraints(self) -> dict[str, str]:
+        """The table's constraints by name."""
+        log = read_if_present(self.spark, f"{self.path}/constraints", _CONSTRAINTS)
+        newest = log.groupBy("name").agg(F.max_by("condition", "seq").alias("condition"), F.max("seq").alias("seq"))
+        return {r["name"]: r["condition"] for r in newest.orderBy("seq").collect() if r["condition"]}
+
+    def _log_constraint(self, name: str, condition: str) -> None:
+        log = read_if_present(self.spark, f"{self.path}/constraints", _CONSTRAINTS)
+        seq = (log.agg(F.max("seq")).first()[0] or 0) + 1
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(seq).cast("bigint").alias("seq"), F.lit(name).alias("name"), F.lit(condition).alias("condition"))
+        row.write.mode("append").parquet(f"{self.path}/constraints")
+
+    def add_constraint(self, name: str, condition: str) -> None:
+        """Check ``condition`` in every later commit; refused if rows present now break it. NULL passes."""
+        if name in self.constraints():
+            raise ValueError(f"constraint {name} exists already")
+        if self.version() and not self.current().where(~F.expr(condition)).isEmpty():
+            raise ValueError(f"rows present break constraint {name}")
+        self._log_constraint(name, condition)
+
+    def drop_constraint(self, name: str) -> None:
+        if name not in self.constraints():
+            raise ValueError(f"no constraint {name}")
+        self._log_constraint(name, "")
+
     def insert(self, rows: DataFrame, operation: str = "WRITE", **commit) -> int:
+        """Add rows whose keys are new."""
         return self.commit(rows.withColumn("_change_type", F.lit("insert")), operation, **commit)
 
     def delete(self, doomed: DataFrame, operation: str = "DELETE", **commit) -> int:
@@ -197,6 +268,9 @@ class ChangeTable:
 
     def touched(self, after: int, upto: int) -> DataFrame:
         """Keys that changed in the versions ``after < v <= upto``."""
+        expired = self._state().expired
+        if upto > after and after < expired:
+            raise ValueError(f"the changes up to version {expired} have expired")
         return self._changes(after, upto).select(self.keys).distinct()
 
     def feed(self, start: int | dt.datetime = 1, end: int | dt.datetime | None = None) -> DataFrame:
@@ -209,9 +283,13 @@ class ChangeTable:
         return self._changes(first - 1, min(last, state.newest))
 
     def feed_stream(self, start: int = 1, types: list[str] | None = None) -> DataFrame:
-        """The change feed as a stream, from version ``start``."""
+        """The change feed as a stream, from version ``start``, which must not have expired."""
+        expired = self._state().expired
+        if expired and start <= expired:
+            raise ValueError(f"the change feed up to version {expired} has expired")
         feed = (
             self.spark.readStream.schema(self._feed_schema())
+            .option("maxFileAge", ANY_AGE)
             .parquet(f"{self.path}/changes")
             .where(F.col("_commit_version") >= start)
         )
@@ -247,33 +325,22 @@ class ChangeTable:
         live = newest.where("_change_type <> 'delete'").select(self.columns)
         touched = self.touched(base, version)
         touched = F.broadcast(touched) if since <= BROADCAST_KEYS else touched
-        return rows.join(touched, self.keys, "left_anti").select(self.columns).unionByName(live)
+        return join_keys(rows, touched, self.keys, "left_anti").select(self.columns).unionByName(live)
 
     def current(self) -> DataFrame:
         return self.as_of()
 
     def history(self) -> DataFrame:
-        """One row per version with its operation and its change counts."""
-        state = self._state()
-        counts = self._changes(state.expired, state.newest).groupBy(F.col("_commit_version").alias("version")).agg(
-            *[
-                F.count_if(F.col("_change_type") == kind).alias(name)
-                for kind, name in [
-                    ("insert", "rows_inserted"), ("update_postimage", "rows_updated"), ("delete", "rows_deleted"),
-                ]
-            ]
-        )
-        log = self.commits().where("NOT is_base").select("version", "committed_at", "operation")
-        counted = log.join(counts, "version", "left")
-        return counted.fillna(0, ["rows_inserted", "rows_updated", "rows_deleted"])
+        """One row per version with its operation and its change counts, also of expired versions."""
+        return self.commits().where("NOT is_base").select("version", "committed_at", "operation", *_COUNTS)
 
     # -- maintenance -----------------------------------------------------------
 
     def net_changes(self, other: DataFrame, keys: DataFrame) -> DataFrame:
         """The changes that turn the current content into ``other``, looking at ``keys`` only."""
         keys = checked_broadcast(keys, BROADCAST_KEYS)
-        ours = self.current().join(keys, self.keys, "left_semi")
-        return diff_changes(ours, other.join(keys, self.keys, "left_semi"), self.keys)
+        ours = join_keys(self.current(), keys, self.keys, "left_semi")
+        return diff_changes(ours, join_keys(other, keys, self.keys, "left_semi"), self.keys)
 
     def restore(self, version: int, **commit) -> int:
         """Bring back an older content as a new version.
@@ -328,13 +395,13 @@ def sync_copy(source: DataFrame | ChangeTable, copy: ChangeTable) -> int:
     """Bring an independent full copy up to date; the first run copies everything.
 
     A copy of a change table then only looks at the keys that changed since the last
-    run; any other source is compared as a whole.
+    run, unless the source has expired since; any other source is compared as a whole.
     """
     if isinstance(source, DataFrame):
         return copy.replace_with(source, operation="CLONE")
     seen = copy.commits().where("operation = 'CLONE'").agg(F.max("batch")).first()[0]
     newest = source.version()
-    if seen is None:
+    if seen is None or seen < source._state().expired:  # what changed since is no longer known
         changes = diff_changes(copy.current(), source.current(), copy.keys)
     else:
         changes = copy.net_changes(source.current(), source.touched(seen, newest))

@@ -44,10 +44,9 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
 def rows_not_in(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows whose key does not occur in ``target``.
 
-    The target is first cut to the keys the source asks for. When the source is a
-    small batch Spark broadcasts its keys, so a large target is only scanned, never
-    shuffled; when both are large this is one more join on the same key.
+    The target is first cut to the keys the source asks for: Spark broadcasts those of a
+    small batch, so a large target is only scanned; when both are large, the second
+    join finds both sides partitioned by the key already.
     """
-    wanted = source.select(keys).distinct()
-    present = target.select(keys).join(wanted, keys, "left_semi")
+    present = target.select(keys).join(source.select(keys), keys, "left_semi")
     return source.join(present, keys, "left_anti")

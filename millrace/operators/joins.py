@@ -48,5 +48,5 @@ def missed_rows(stream_table: DataFrame, result: DataFrame, static: DataFrame, r
     They are in the stream's table, not in the result, and have a partner now. The
     output has the columns of the join, ready to be appended to ``result``.
     """
-    absent = stream_table.join(result.select(row_key).distinct(), row_key, "left_anti")
+    absent = stream_table.join(result.select(row_key), row_key, "left_anti")
     return absent.join(static, on, "inner")

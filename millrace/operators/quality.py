@@ -92,4 +92,5 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
     rows, distinct = key_counts(df, keys).first()
-    assert rows == distinct, f"{rows} rows but {distinct} distinct {keys}"
+    if rows != distinct:
+        raise AssertionError(f"{rows} rows but {distinct} distinct {keys}")

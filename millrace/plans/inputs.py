@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.files import file_stream
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -45,9 +47,9 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
     def stream(self, name: str) -> DataFrame:
-        """The same table as a stream of its files."""
+        """The same table as a stream of its files; the pattern only fits the table's own path."""
         schema = getattr(self, name).schema
-        return self.spark.readStream.schema(schema).parquet(f"{self.path(name)}*")
+        return file_stream(self.spark, f"{self.path(name)[:-1]}[t]", "parquet", schema)
 
 
 def cents(column: str | Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import json_path
-from millrace.sources.files import ingest_files
+from millrace.sources.files import file_stream, ingest_files
 from millrace.streaming.joins import stream_static_join
 from millrace.streaming.sinks import append_to, complete_to
 
@@ -37,7 +37,7 @@ class MultiHop:
     def silver(self) -> DataFrame:
         """Orders with a quantity, joined with the customers as they are now."""
         schema = f"{FILE_SCHEMA}, arrival_time TIMESTAMP, source_file STRING"
-        orders = self.spark.readStream.schema(schema).parquet(f"{self.root}/bronze").where("quantity > 0")
+        orders = file_stream(self.spark, f"{self.root}/bronze", "parquet", schema).where("quantity > 0")
         cleaned = orders.select(
             "order_id", "quantity", "customer_id",
             F.to_timestamp(F.from_unixtime("order_timestamp", "yyyy-MM-dd HH:mm:ss")).alias("order_timestamp"),
@@ -58,7 +58,7 @@ class MultiHop:
 
     def gold(self) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.root}/silver").schema
-        silver = self.spark.readStream.schema(schema).parquet(f"{self.root}/silver")
+        silver = file_stream(self.spark, f"{self.root}/silver", "parquet", schema)
         daily = silver.groupBy(
             "customer_id", "f_name", "l_name", F.date_trunc("day", "order_timestamp").alias("order_date")
         ).agg(F.sum("quantity").alias("books_count"))

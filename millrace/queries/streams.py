@@ -19,6 +19,7 @@ from millrace.plans.multihop import MultiHop
 from millrace.queries.nested import DOCS, PROFILES
 from millrace.queries.registry import query
 from millrace.session import new_folder
+from millrace.sources.files import file_stream
 from millrace.streaming import (
     append_to, complete_to, dedup_stream, dedup_upsert, each_batch, stream_static_join, stream_stream_join,
 )
@@ -97,7 +98,7 @@ def late_events(t: Tables) -> DataFrame:
     events = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     for part in (recent, ~recent):
         events.where(part).write.mode("append").parquet(f"{folder}/events")
-        arriving = t.spark.readStream.schema(events.schema).parquet(f"{folder}/events")
+        arriving = file_stream(t.spark, f"{folder}/events", "parquet", events.schema)
         counts = (
             arriving.withWatermark("ts", "10 minutes")
             .groupBy(F.window("ts", "1 hour").alias("w"), "event_type")

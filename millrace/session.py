@@ -21,6 +21,8 @@ SETTINGS = {
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PARTITION_BYTES = 128 << 20
 UNSET_PARTITIONS = "200"
+# file streams skip files older than this next to the newest; back-fills may have any date
+ANY_AGE = "36500d"
 
 _local_roots: dict[str, str] = {}
 

@@ -162,3 +162,62 @@ def test_feed_stream_resumes(spark, folder):
     assert run() == []
     table.replace_with(frame(spark, {1: "b"}))
     assert run() == [(1, "b", 2)]
+
+
+def test_a_null_key_is_a_key(spark, folder):
+    table = ChangeTable(spark, f"{folder}/t", SCHEMA, ["id"])
+    table.insert(frame(spark, {None: "a", 1: "b"}))
+    table.replace_with(frame(spark, {None: "c", 1: "b"}))
+    assert content(table.current()) == {None: "c", 1: "b"} and table.feed(2).count() == 2
+    table.delete(table.current().where("id IS NULL"))
+    assert content(table.current()) == {1: "b"}
+    table.restore(2)
+    assert content(table.current()) == {None: "c", 1: "b"}
+
+
+def test_expired_changes_are_refused_and_copies_catch_up(spark, folder):
+    table = ChangeTable(spark, f"{folder}/t", SCHEMA, ["id"])
+    copy = ChangeTable(spark, f"{folder}/copy", SCHEMA, ["id"])
+    table.insert(frame(spark, {1: "x", 2: "y"}))
+    sync_copy(table, copy)
+    table.replace_with(frame(spark, {1: "new", 2: "y"}))
+    table.replace_with(frame(spark, {1: "new", 2: "y", 3: "z"}))
+    table.expire(older_than_hours=0, force=True)
+    for read in (lambda: table.touched(1, 3), lambda: table.feed_stream(1)):
+        with pytest.raises(ValueError, match="expired"):
+            read()
+    sync_copy(table, copy)
+    assert content(copy.current()) == {1: "new", 2: "y", 3: "z"}
+    assert rows(table.history().select("version", "rows_inserted", "rows_updated", "rows_deleted")) == [
+        (1, 2, 0, 0), (2, 0, 1, 0), (3, 1, 0, 0),
+    ]
+
+
+def test_two_rows_for_a_key_are_refused_and_block_nothing(spark, folder):
+    table = ChangeTable(spark, f"{folder}/t", SCHEMA, ["id"])
+    tied = spark.createDataFrame([(1, "a"), (1, "b")], SCHEMA)
+    with pytest.raises(ValueError, match="several source rows"):
+        table.merge(tied, ["id"], [Update(when="t.v <> s.v")], [Insert()])
+    assert table.version() == 0
+    table.merge(tied.limit(1), ["id"], [Update(when="t.v <> s.v")], [Insert()])
+    with pytest.raises(ValueError, match="exists already"):
+        table.insert(frame(spark, {1: "again"}))
+    table.merge(frame(spark, {1: "c", 2: "d"}), ["id"], [Update(when="t.v <> s.v")], [Insert()])
+    assert content(table.current()) == {1: "c", 2: "d"}
+
+
+def test_constraints_stay_with_the_table(spark, folder):
+    table = ChangeTable(spark, f"{folder}/t", SCHEMA, ["id"])
+    table.insert(frame(spark, {1: "a"}))
+    with pytest.raises(ValueError, match="present"):
+        table.add_constraint("late", "id > 5")
+    table.add_constraint("positive", "id > 0")
+    again = ChangeTable(spark, f"{folder}/t", SCHEMA, ["id"])
+    assert again.constraints() == {"positive": "id > 0"}
+    with pytest.raises(ValueError, match="positive"):
+        again.insert(frame(spark, {2: "b", -1: "c"}))
+    assert content(again.current()) == {1: "a"} and again.version() == 1
+    again.insert(frame(spark, {None: "unknown passes"}))
+    again.drop_constraint("positive")
+    again.insert(frame(spark, {-1: "c"}))
+    assert again.constraints() == {} and again.current().count() == 3

@@ -1,5 +1,10 @@
+import os
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from millrace.functions import domain_part, json_path
@@ -7,6 +12,7 @@ from millrace.session import new_folder, read_if_present, shared_root, written
 from millrace.sources import (
     ENVELOPE_SCHEMA, bronze_envelope, copy_into, envelope_of, ingest_files, parse_topic, with_provenance,
 )
+from millrace.sources.files import evolving_schema, file_stream, merge_schemas
 from millrace.streaming import append_to
 
 
@@ -27,9 +33,81 @@ def test_copy_into_loads_each_file_once(spark, folder):
     spark.range(3).write.json(source)
     for _ in range(2):
         assert copy_into(spark, target, source, "json", checkpoint).count() == 3
+    spark.range(3, 5).write.mode("append").json(source)
+    assert copy_into(spark, target, source, "json", checkpoint).count() == 5
+
+
+def test_copy_into_refuses_unknown_fields(spark, folder):
+    source, target, checkpoint = f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint"
+    spark.range(3).write.json(source)
+    copy_into(spark, target, source, "json", checkpoint)
     spark.range(3, 5).selectExpr("id", "'x' AS extra").write.mode("append").json(source)
-    same = copy_into(spark, target, source, "json", checkpoint)
-    assert same.columns == ["id"] and same.count() == 5
+    for _ in range(2):  # a refused file stays refused
+        with pytest.raises(ValueError, match="extra"):
+            copy_into(spark, target, source, "json", checkpoint)
+    assert spark.read.parquet(target).count() == 3
+    assert copy_into(spark, target, source, "json", checkpoint, merge_schema=True).count() == 5
+
+
+def test_files_of_any_date_are_loaded(spark, folder):
+    source, target, checkpoint = f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint"
+    spark.range(2).coalesce(1).write.parquet(source)
+    assert copy_into(spark, target, source, "parquet", checkpoint, schema="id BIGINT").count() == 2
+    spark.range(2, 4).coalesce(1).write.mode("append").parquet(source)
+    old = time.time() - 10 * 86400
+    for path in Path(source).glob("*.parquet"):
+        os.utime(path, (old, old))
+    spark.range(4, 5).coalesce(1).write.mode("append").parquet(source)
+    loaded = copy_into(spark, target, source, "parquet", checkpoint, schema="id BIGINT")
+    assert {r.id for r in loaded.collect()} == {0, 1, 2, 3, 4}
+
+
+def test_schemas_merge_at_any_depth():
+    merge = lambda a, b, text=True: merge_schemas(T.StructType.fromDDL(a), T.StructType.fromDDL(b), text).simpleString()
+    assert merge("a INT, s STRUCT<x: INT>", "s STRUCT<y: INT>, b INT") == "struct<a:int,s:struct<x:int,y:int>,b:int>"
+    assert merge("l ARRAY<STRUCT<x: INT>>", "l ARRAY<STRUCT<x: BIGINT, z: STRING>>") == "struct<l:array<struct<x:bigint,z:string>>>"
+    assert merge("a BIGINT, b INT", "a STRING, b DOUBLE") == "struct<a:string,b:double>"
+    for a, b, text in (("a BIGINT", "a STRING", False), ("a BIGINT", "a STRUCT<x: INT>", True)):
+        with pytest.raises(ValueError, match="no common type"):
+            merge(a, b, text)
+
+
+def test_new_nested_fields_and_parquet_columns_are_found(spark, folder):
+    def run(fmt, place):
+        stream = ingest_files(spark, f"{folder}/{place}", fmt, schema_location=f"{folder}/{place}-schema")
+        append_to(stream, f"{folder}/{place}-t", f"{folder}/{place}-c")
+        return spark.read.option("mergeSchema", "true").parquet(f"{folder}/{place}-t")
+
+    spark.range(2).selectExpr("id", "struct(id AS a) AS s").write.json(f"{folder}/j")
+    run("json", "j")
+    spark.range(2, 4).selectExpr("id", "struct(id AS a, 'x' AS b) AS s").write.mode("append").json(f"{folder}/j")
+    assert rows(run("json", "j").selectExpr("id", "s.a", "s.b")) == [(0, 0, None), (1, 1, None), (2, 2, "x"), (3, 3, "x")]
+    spark.range(2).write.parquet(f"{folder}/p")
+    run("parquet", "p")
+    spark.range(2, 3).selectExpr("id", "'n' AS extra").write.mode("append").parquet(f"{folder}/p")
+    assert rows(run("parquet", "p").selectExpr("id", "extra")) == [(0, None), (1, None), (2, "n")]
+
+
+def test_a_restart_infers_from_new_files_only(spark, folder):
+    spark.range(2).write.json(f"{folder}/in")
+    first = evolving_schema(spark, f"{folder}/in", "json", f"{folder}/schema")
+    for path in Path(f"{folder}/in").glob("part-*"):  # what was read once is not read again
+        if path.stat().st_size:
+            path.write_text("not json")
+    assert evolving_schema(spark, f"{folder}/in", "json", f"{folder}/schema") == first
+    spark.range(2).selectExpr("id", "1 AS n").write.mode("append").json(f"{folder}/in")
+    assert evolving_schema(spark, f"{folder}/in", "json", f"{folder}/schema").fieldNames() == ["id", "n"]
+
+
+def test_a_stream_gives_the_same_rows_in_bounded_batches(spark, folder):
+    for k in range(4):
+        spark.range(k * 10, k * 10 + 10).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = file_stream(spark, f"{folder}/in", "parquet", "id BIGINT", max_bytes=1)
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/t").option(
+        "checkpointLocation", f"{folder}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(f"{folder}/t").count() == 40
+    assert len(query.recentProgress) >= 4
 
 
 def test_copy_into_can_widen_the_table(spark, folder):
