@@ -118,11 +118,10 @@ def compact(spark: SparkSession, source: str, destination: str, target_bytes: in
     return spark.read.schema(df.schema).parquet(destination)
 
 
-def _as_number(column: str, kind: T.DataType) -> Column:
-    """An order-preserving number for a column's values."""
+def _comparable(column: str, kind: T.DataType) -> Column:
+    """A column's values as strings or as order-preserving numbers."""
     if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.encode(F.substring(column, 1, 6), "utf-8")), 12, "0")
-        return F.conv(F.substring(head, 1, 12), 16, 10).cast("double")
+        return F.col(column)
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(column)).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -130,9 +129,19 @@ def _as_number(column: str, kind: T.DataType) -> Column:
     return F.col(column).cast("double")
 
 
-def _search_order(bounds: list[float]) -> list[float]:
+def _string_limits(df: DataFrame, column: str, ranges: int) -> list[str]:
+    """At most ``ranges - 1`` limits that part a column's distinct strings evenly, however long a prefix they share.
+
+    Spark's range partitioning samples the limits; only the lowest string of each range comes here.
+    """
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().repartitionByRange(ranges, column)
+    lowest = values.groupBy(F.spark_partition_id()).agg(F.min(column).alias("low")).collect()
+    return sorted(r["low"] for r in lowest)[1:]
+
+
+def _search_order(bounds: list) -> list:
     """Sorted range limits as an implicit search tree: entry ``i`` has the children ``2i`` and ``2i + 1``."""
-    tree = [0.0] * len(bounds)
+    tree = [None] * len(bounds)
     rest = iter(bounds)
 
     def fill(i: int) -> None:
@@ -148,26 +157,31 @@ def _search_order(bounds: list[float]) -> list[float]:
 def with_z_value(df: DataFrame, columns: list[str], bits: int = 6, name: str = "_z") -> DataFrame:
     """``df`` plus the interleaved range numbers of ``columns``.
 
-    Only the range limits, at most ``2**bits - 1`` per column, come to the driver;
-    they are found with the built-in approximate quantiles, so skew and scale of the
-    values do not matter.
+    Only the range limits, at most ``2**bits - 1`` per column, come to the driver: built-in
+    approximate quantiles of numbers and times, sampled limits of strings. So neither
+    skew and scale nor shared prefixes of the values matter.
     """
     if bits * len(columns) > 62:
         raise ValueError("too many columns for that many bits")
-    numbers = [_as_number(c, df.schema[c].dataType) for c in columns]
+    kinds = [df.schema[c].dataType for c in columns]
+    plain = [_comparable(c, kind) for c, kind in zip(columns, kinds)]
+    text = [isinstance(kind, T.StringType) for kind in kinds]
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    marks = df.agg(
-        *[F.percentile_approx(n, steps, 10_000).alias(f"q{i}") for i, n in enumerate(numbers)]
-    ).first()
+    quantiles = [F.percentile_approx(n, steps, 10_000).alias(f"q{i}") for i, n in enumerate(plain) if not text[i]]
+    found = df.agg(*quantiles).first() if quantiles else {}
+    marks = []
+    for i, column in enumerate(columns):
+        limits = _string_limits(df, column, 1 << bits) if text[i] else list(found[f"q{i}"] or [])
+        marks.append(_search_order(limits + [None] * (len(steps) - len(limits))))
     # walk the search trees one level per step; a column of its own for every level
-    # keeps the generated code small
-    lowest, spots = F.lit(float("-inf")), [f"_spot_{i}" for i in range(len(columns))]
-    values = {f"_value_{i}": F.coalesce(n, lowest) for i, n in enumerate(numbers)}
+    # keeps the generated code small; a missing limit or value counts as below
+    spots = [f"_spot_{i}" for i in range(len(columns))]
+    values = {f"_value_{i}": n for i, n in enumerate(plain)}
     result = df.withColumns(values | {spot: F.lit(1) for spot in spots})
-    trees = [F.lit(_search_order(list(m or [float("inf")] * len(steps)))) for m in marks]
+    trees = [F.array(*map(F.lit, m)).cast("array<string>" if t else "array<double>") for m, t in zip(marks, text)]
     for _ in range(bits):
         result = result.withColumns({
-            spot: 2 * F.col(spot) + (F.col(value) >= F.get(tree, F.col(spot) - 1)).cast("int")
+            spot: 2 * F.col(spot) + F.coalesce(F.col(value) >= F.get(tree, F.col(spot) - 1), F.lit(False)).cast("int")
             for spot, value, tree in zip(spots, values, trees)
         })
     z = F.lit(0).cast("long")
@@ -178,13 +192,20 @@ def with_z_value(df: DataFrame, columns: list[str], bits: int = 6, name: str = "
     return result.withColumn(name, z).drop(*spots, *values)
 
 
-def zorder(df: DataFrame, columns: list[str], files: int, bits: int = 6) -> DataFrame:
+def zorder_bits(columns: int, files: int) -> int:
+    """Bits per column that give each file several cells of the curve."""
+    return min(62 // columns, max(6, math.ceil(math.log2(max(files, 1)) / columns) + 2))
+
+
+def zorder(df: DataFrame, columns: list[str], files: int, bits: int | None = None) -> DataFrame:
     """A parquet table arranged so that rows near in all of ``columns`` share a file.
 
     The range split also uses the storage place of each row, so that rows with one
-    equal, very common value still spread over several files. ``df`` must read files
+    equal, very common value still spread over several files. The number of ranges follows the
+    number of files unless ``bits`` is given. ``df`` must read files
     directly, as that place comes from the scan.
     """
+    bits = bits or zorder_bits(len(columns), files)
     marked = with_z_value(df.withColumn("_spread", _row_address()), columns, bits)
     return (
         marked.repartitionByRange(files, "_z", "_spread")

@@ -5,7 +5,8 @@
 ``t`` is the target row and ``s`` the source row.
 
 Scale: the source is normally the small side, and the target is then only scanned.
-The firing (target row, source row) pairs are the output of one inner join, which
+A source whose keys are unique, which one count of it tells, takes one outer join. Otherwise
+the firing (target row, source row) pairs are the output of one inner join, which
 Spark may broadcast or split when a key is hot, and a count per target row with a
 partial step before its shuffle finds rows that more than one source row would
 change. No group is ever collected.
@@ -63,19 +64,12 @@ def _any_clause(clauses: Sequence[Update | Delete | Insert]) -> Column:
     return reduce(lambda a, b: a | b, [F.expr(c.when) for c in clauses])
 
 
-def _effects(
-    target: DataFrame, source: DataFrame, on: Keys, matched: Sequence[Update | Delete], row_key: list[str]
-) -> DataFrame:
-    """One row per changed target row: ``_before``, ``_after``, ``_gone``."""
-    t, s = target.alias("t"), source.alias("s")
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(f"t.`{a}`") == F.col(f"s.`{b}`") for a, b in _key_pairs(on)]
-    )
-    which = _first_clause(matched)
-    after = []
+def _assigned(target: DataFrame, clauses: Sequence[Update | Delete | Insert], otherwise) -> list[Column]:
+    """The target's columns as the clause numbered ``_which`` sets them."""
+    out = []
     for field in target.schema.fields:
-        value = F.col(f"t.`{field.name}`")
-        for i, clause in enumerate(matched):
+        value = otherwise(field)
+        for i, clause in enumerate(clauses):
             if isinstance(clause, Delete):
                 continue
             if clause.values is None:
@@ -85,7 +79,69 @@ def _effects(
             else:
                 continue
             value = F.when(F.col("_which") == i, new.cast(field.dataType)).otherwise(value)
-        after.append(value.alias(field.name))
+        out.append(value.alias(field.name))
+    return out
+
+
+def has_unique_key(source: DataFrame, on: Keys) -> bool:
+    """Whether no two source rows share a key, NULL keys aside: one count with a partial step."""
+    keys = [b for _, b in _key_pairs(on)]
+    return source.select(keys).dropna().groupBy(keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty()
+
+
+def paired(target: DataFrame, source: DataFrame, on: Keys, how: str) -> DataFrame:
+    """Target (``t``) and source (``s``) side by side; ``_t`` and ``_s`` tell which of them is there."""
+    t, s = target.withColumn("_t", F.lit(True)).alias("t"), source.withColumn("_s", F.lit(True)).alias("s")
+    return t.join(s, reduce(lambda a, b: a & b, [F.col(f"t.`{a}`") == F.col(f"s.`{b}`") for a, b in _key_pairs(on)]), how)
+
+
+_BOTH, _ONLY_SOURCE = "t._t AND s._s", "t._t IS NULL"
+
+
+def _outcome(target: DataFrame, source: DataFrame, on: Keys, matched, not_matched, how: str) -> DataFrame:
+    """For a source with unique keys, every pair of one join: ``_before``, ``_after`` and what happens.
+
+    ``_hit``: a matched clause fires; ``_gone``: it deletes; ``_new``: the row is inserted;
+    ``_there``: there is a target row.
+    """
+    def number(clauses, where):
+        return F.when(F.expr(where), _first_clause(clauses)) if clauses else F.lit(None).cast("int")
+
+    deletes = [i for i, c in enumerate(matched) if isinstance(c, Delete)]
+    pairs = paired(target, source, on, how).withColumns({
+        "_hit_by": number(matched, _BOTH), "_new_by": number(not_matched, _ONLY_SOURCE)})
+    before = F.struct(*[F.col(f"t.`{c}`") for c in target.columns])
+    changed = pairs.withColumn("_which", F.col("_hit_by")).withColumn(
+        "_changed", F.struct(*_assigned(target, matched, lambda f: F.col(f"t.`{f.name}`"))))
+    added = changed.withColumn("_which", F.col("_new_by")).withColumn(
+        "_added", F.struct(*_assigned(target, not_matched, lambda f: F.lit(None).cast(f.dataType))))
+    new = F.col("_new_by").isNotNull()
+    return added.select(
+        before.alias("_before"), F.when(new, F.col("_added")).otherwise(F.col("_changed")).alias("_after"),
+        (F.col("_hit_by").isin(deletes) if deletes else F.lit(False)).alias("_gone"),
+        F.col("_hit_by").isNotNull().alias("_hit"), new.alias("_new"), F.col("t._t").isNotNull().alias("_there"))
+
+
+def _image(kind: str, side: str) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), F.col(side).alias("row"))
+
+
+def exploded_images(images: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the table and their ``_change_type`` from a column ``_images``."""
+    return images.select(F.explode("_images").alias("_image")).select(
+        *[F.col(f"_image.row.`{c}`").alias(c) for c in columns], F.col("_image.kind").alias("_change_type"))
+
+
+def _effects(
+    target: DataFrame, source: DataFrame, on: Keys, matched: Sequence[Update | Delete], row_key: list[str]
+) -> DataFrame:
+    """One row per changed target row: ``_before``, ``_after``, ``_gone``."""
+    t, s = target.alias("t"), source.alias("s")
+    same_key = reduce(
+        lambda a, b: a & b, [F.col(f"t.`{a}`") == F.col(f"s.`{b}`") for a, b in _key_pairs(on)]
+    )
+    which = _first_clause(matched)
+    after = _assigned(target, matched, lambda f: F.col(f"t.`{f.name}`"))
     deletes = [i for i, c in enumerate(matched) if isinstance(c, Delete)]
     fired = (
         t.join(s, same_key, "inner")
@@ -97,14 +153,16 @@ def _effects(
             F.col("_which").isin(deletes).alias("_gone") if deletes else F.lit(False).alias("_gone"),
         )
     )
-    single = F.when(
-        F.col("_firing") > 1,
-        F.raise_error(F.lit("MERGE: several source rows would change one target row")),
-    ).otherwise(F.lit(True))
+    single = (
+        F.when(F.col("_low") != F.col("_high"), F.raise_error(F.lit("MERGE: several target rows share one row key")))
+        .when(F.col("_firing") > 1, F.raise_error(F.lit("MERGE: several source rows would change one target row")))
+        .otherwise(F.lit(True))
+    )
     return (
         fired.groupBy(*[F.col(f"_before.`{k}`").alias(k) for k in row_key])
         .agg(
             F.count(F.lit(1)).alias("_firing"),
+            F.min(F.xxhash64("_before")).alias("_low"), F.max(F.xxhash64("_before")).alias("_high"),
             F.first("_before").alias("_before"),
             F.first("_after").alias("_after"),
             F.first("_gone").alias("_gone"),
@@ -117,24 +175,13 @@ def _effects(
 def _inserts(target: DataFrame, source: DataFrame, on: Keys, not_matched: Sequence[Insert]) -> DataFrame:
     """Source rows without a partner in the target (NULL keys never have one)."""
     pairs = _key_pairs(on)
-    wanted = source.select(*[F.col(b).alias(a) for a, b in pairs]).distinct()
+    wanted = source.select(*[F.col(b).alias(a) for a, b in pairs])
     names = [a for a, _ in pairs]
     present = target.select(*names).join(wanted, names, "left_semi").alias("t")
     s = source.alias("s")
     same_key = reduce(lambda a, b: a & b, [F.col(f"t.`{a}`") == F.col(f"s.`{b}`") for a, b in pairs])
     which = _first_clause(not_matched)
-    columns = []
-    for field in target.schema.fields:
-        value = F.lit(None).cast(field.dataType)
-        for i, clause in enumerate(not_matched):
-            if clause.values is None:
-                new = F.col(f"s.`{field.name}`")
-            elif field.name in clause.values:
-                new = F.expr(clause.values[field.name])
-            else:
-                continue
-            value = F.when(F.col("_which") == i, new.cast(field.dataType)).otherwise(value)
-        columns.append(value.alias(field.name))
+    columns = _assigned(target, not_matched, lambda f: F.lit(None).cast(f.dataType))
     fresh = s.join(present, same_key, "left_anti").where(_any_clause(not_matched))
     return fresh.withColumn("_which", which).select(*columns)
 
@@ -153,31 +200,23 @@ def merge_changes(
     identify one target row; it defaults to the merge key and is only needed when
     several target rows share that (a history table).
     """
+    if not matched and not not_matched:
+        raise ValueError("a merge needs at least one clause")
     row_key = list(row_key or [a for a, _ in _key_pairs(on)])
+    change = F.when(F.col("_gone"), F.array(_image("delete", "_before"))).otherwise(
+        F.array(_image("update_preimage", "_before"), _image("update_postimage", "_after")))
+    if has_unique_key(source, on):  # then one join says it all
+        pairs = _outcome(target, source, on, matched, not_matched, "right" if not_matched else "inner").where("_hit OR _new")
+        images = F.when(F.col("_new"), F.array(_image("insert", "_after"))).otherwise(change)
+        return exploded_images(pairs.select(images.alias("_images")), target.columns)
     parts = []
     if matched:
-        images = F.when(
-            F.col("_gone"), F.array(F.struct(F.lit("delete").alias("kind"), F.col("_before").alias("row")))
-        ).otherwise(
-            F.array(
-                F.struct(F.lit("update_preimage").alias("kind"), F.col("_before").alias("row")),
-                F.struct(F.lit("update_postimage").alias("kind"), F.col("_after").alias("row")),
-            )
-        )
-        parts.append(
-            _effects(target, source, on, matched, row_key)
-            .select(F.explode(images).alias("_image"))
-            .select(
-                *[F.col(f"_image.row.`{c}`").alias(c) for c in target.columns],
-                F.col("_image.kind").alias("_change_type"),
-            )
-        )
+        effects = _effects(target, source, on, matched, row_key)
+        parts.append(exploded_images(effects.select(change.alias("_images")), target.columns))
     if not_matched:
         parts.append(
             _inserts(target, source, on, not_matched).withColumn("_change_type", F.lit("insert"))
         )
-    if not parts:
-        raise ValueError("a merge needs at least one clause")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -198,6 +237,14 @@ def merge_rows(
     """
     keys = [a for a, _ in _key_pairs(on)]
     row_key = list(row_key or keys)
+    if has_unique_key(source, on):  # then one join says it all
+        if check_source and not not_matched and small(source):
+            source = F.broadcast(source)
+        pairs = _outcome(target, source, on, matched, not_matched, "full_outer" if not_matched else "left")
+        kept = pairs.where("(_there AND NOT coalesce(_gone, false)) OR _new")
+        return kept.select(*[
+            F.when(F.col("_hit") | F.col("_new"), F.col(f"_after.`{c}`")).otherwise(F.col(f"_before.`{c}`")).alias(c)
+            for c in target.columns])
     result = target
     if matched:
         changed = _effects(target, source, on, matched, row_key).select(

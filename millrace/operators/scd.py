@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.merge import Insert, Update, merge_changes, merge_rows
+from millrace.operators.merge import (
+    Insert, Update, exploded_images, has_unique_key, merge_changes, merge_rows, paired,
+)
 
 
 def _staged(dimension: DataFrame, updates: DataFrame, key: str, differs: str) -> DataFrame:
@@ -31,6 +33,7 @@ def _staged(dimension: DataFrame, updates: DataFrame, key: str, differs: str) ->
 
 
 def _scd2(merge, dimension, updates, key, tracked, updated, null_safe):
+    """The general way, for updates that may repeat a key: a MERGE with every changing update staged twice."""
     different = "NOT (t.`{0}` <=> s.`{0}`)" if null_safe else "t.`{0}` <> s.`{0}`"
     differs = reduce(lambda a, b: f"{a} OR {b}", [f"({different.format(c)})" for c in tracked])
     own = {"current", "effective_date", "end_date"}
@@ -48,6 +51,24 @@ def _scd2(merge, dimension, updates, key, tracked, updated, null_safe):
     )
 
 
+def _versions(dimension, updates, key, tracked, updated, null_safe, how):
+    """For updates with unique keys, one join with the history: its pairs, and as columns of these the old row, the
+    closed one, the opened one, and whether the update changes the open row."""
+    pairs = paired(dimension, updates, [key], how)
+    different = "NOT (t.`{0}` <=> s.`{0}`)" if null_safe else "t.`{0}` <> s.`{0}`"
+    changes = F.expr("s._s AND t.current AND (" + " OR ".join(f"({different.format(c)})" for c in tracked) + ")")
+    types = {f.name: f.dataType for f in dimension.schema.fields}
+    stamp = F.col(f"s.`{updated}`")
+
+    def row(own: dict[str, Column], side: str) -> Column:
+        return F.struct(*[own.get(c, F.col(f"{side}.`{c}`")).cast(types[c]).alias(c) for c in dimension.columns])
+
+    old = row({}, "t")
+    closed = row({"current": F.lit(False), "end_date": stamp}, "t")
+    opened = row({"current": F.lit(True), "effective_date": stamp, "end_date": F.lit(None)}, "s")
+    return pairs, old, closed, opened, changes
+
+
 def scd2_apply(
     dimension: DataFrame, updates: DataFrame, key: str, tracked: list[str], updated: str,
     null_safe: bool = False,
@@ -58,7 +79,11 @@ def scd2_apply(
     from NULL is ignored unless ``null_safe``). Two changing updates for one key in one
     call are an error, as in any MERGE; reduce them with ``latest_per_key`` first.
     """
-    return _scd2(merge_rows, dimension, updates, key, tracked, updated, null_safe)
+    if not has_unique_key(updates, [key]):
+        return _scd2(merge_rows, dimension, updates, key, tracked, updated, null_safe)
+    pairs, old, closed, opened, changes = _versions(dimension, updates, key, tracked, updated, null_safe, "full_outer")
+    rows = F.when(F.expr("t._t IS NULL"), F.array(opened)).when(changes, F.array(closed, opened)).otherwise(F.array(old))
+    return pairs.select(F.explode(rows).alias("_row")).select("_row.*")
 
 
 def scd2_changes(
@@ -66,7 +91,16 @@ def scd2_changes(
     null_safe: bool = False,
 ) -> DataFrame:
     """The row changes of ``scd2_apply``, for a change table."""
-    return _scd2(merge_changes, dimension, updates, key, tracked, updated, null_safe)
+    if not has_unique_key(updates, [key]):
+        return _scd2(merge_changes, dimension, updates, key, tracked, updated, null_safe)
+    pairs, old, closed, opened, changes = _versions(dimension, updates, key, tracked, updated, null_safe, "right")
+
+    def image(kind: str, row: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
+
+    images = F.when(F.expr("t._t IS NULL"), F.array(image("insert", opened))).when(changes, F.array(
+        image("update_preimage", old), image("update_postimage", closed), image("insert", opened)))
+    return exploded_images(pairs.select(images.alias("_images")), dimension.columns)
 
 
 def current_rows(dimension: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
     adaptive execution joins the small ones. Streaming state goes to disk-backed stores;
     their number is fixed when a checkpoint is first used, so set this before.
     """
-    partitions = min(max(200, -(-shuffle_bytes // PARTITION_BYTES)), 200_000)
+    partitions = max(200, -(-shuffle_bytes // PARTITION_BYTES))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
@@ -51,6 +51,8 @@ def apply_settings(spark: SparkSession) -> None:
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)  # state on disk, not in the heap
     if spark.conf.get("spark.sql.shuffle.partitions") == UNSET_PARTITIONS:
         context = spark.sparkContext
         cores = context.defaultParallelism

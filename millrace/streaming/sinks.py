@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.tables import replace_table
@@ -22,9 +23,18 @@ def run_every(writer: DataStreamWriter, checkpoint: str, interval: str) -> Strea
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Append the stream to a parquet folder; returns that folder as a batch frame."""
-    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
+def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
+              files: int = 4) -> DataFrame:
+    """Append the stream to a parquet folder; returns that folder as a batch frame.
+
+    A partitioned write first brings each partition's rows to ``files`` tasks, chosen by the rows'
+    content, so that a micro-batch adds at most that many files to a partition.
+    """
+    dealt = stream
+    if partition_by:
+        salt = F.pmod(F.xxhash64(*stream.columns), F.lit(files))
+        dealt = stream.repartition(*partition_by, salt)
+    writer = dealt.writeStream.outputMode("append").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     run_available_now(writer, checkpoint)
