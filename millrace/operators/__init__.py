@@ -14,7 +14,7 @@ from millrace.operators.quality import (
     split_valid, violations,
 )
 from millrace.operators.scd import current_rows, scd2_apply, scd2_changes
-from millrace.operators.tables import replace_table
+from millrace.operators.tables import replace_table, snapshots
 
 __all__ = [
     "ChangeTable", "Check", "CheckViolation", "Delete", "Insert", "Update", "add_check", "apply_cdc",
@@ -22,6 +22,6 @@ __all__ = [
     "diff_changes", "drop_check", "enforce", "file_stats", "files_of", "insert_new", "item_sets",
     "key_counts", "latest_per_key", "lookup_join", "lost_rows", "merge_changes", "merge_rows",
     "missed_rows", "newest_wins", "not_null", "partition_report", "replace_table", "rows_not_in",
-    "salted_join", "scd2_apply", "scd2_changes", "split_valid", "sync_copy", "table_detail",
+    "salted_join", "scd2_apply", "scd2_changes", "snapshots", "split_valid", "sync_copy", "table_detail",
     "update_rows", "violations", "zorder",
 ]

@@ -72,13 +72,16 @@ def scan_text_lines(t: Tables) -> DataFrame:
     )
 
 
-@query("S6", "SELECT CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS byte_count FROM documents")
+@query("S6", """
+    SELECT CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS byte_count,
+           CAST(sum(length(text) + 1) AS BIGINT) AS char_count FROM documents
+""")
 def scan_binary_files(t: Tables) -> DataFrame:
-    """Whole files as bytes plus metadata; only the length column is read here."""
+    """Whole files as bytes plus metadata: the bytes are decoded and counted as characters."""
     folder = new_folder(t.spark, "documents-binary")
     t.documents.select("text").write.text(folder)
     files = t.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    return files.agg(F.sum("length").alias("byte_count"))
+    return files.agg(F.sum("length").alias("byte_count"), F.sum(F.length(F.decode("content", "utf-8"))).alias("char_count"))
 
 
 def _book_csv(t: Tables) -> str:
@@ -152,6 +155,36 @@ def ingested_with_new_field(t: Tables) -> DataFrame:
     )
 
 
+def _arrivals(t: Tables, fmt: str, first: DataFrame, later: DataFrame) -> DataFrame:
+    """Two runs of one incremental load, with other columns in the second run's files."""
+    folder, base = new_folder(t.spark, "arrivals"), new_folder(t.spark, "ingest")
+    for rows in (first, later):
+        rows.write.mode("append").format(fmt).save(folder)
+        stream = ingest_files(t.spark, folder, fmt, schema_location=f"{base}/schema")
+        append_to(stream, f"{base}/table", f"{base}/checkpoint")
+    return t.spark.read.option("mergeSchema", "true").parquet(f"{base}/table")
+
+
+@query("S14 R12", """
+    SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment FROM customer
+""")
+def ingested_nested_field(t: Tables) -> DataFrame:
+    """The later files have one more field within a known struct."""
+    first = t.customer.where("c_acctbal < 0").select("c_custkey", F.struct("c_name").alias("profile"))
+    later = t.customer.where("c_acctbal >= 0").select("c_custkey", F.struct("c_name", "c_mktsegment").alias("profile"))
+    return _arrivals(t, "json", first, later).select("c_custkey", "profile.c_name", "profile.c_mktsegment")
+
+
+@query("S14 R12", """
+    SELECT c_custkey, CAST(CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS BIGINT) AS c_nationkey FROM customer
+""")
+def ingested_new_parquet_column(t: Tables) -> DataFrame:
+    """The later parquet files have one more column."""
+    first = t.customer.where("c_acctbal < 0").select("c_custkey")
+    later = t.customer.where("c_acctbal >= 0").select("c_custkey", F.col("c_nationkey").cast("bigint").alias("c_nationkey"))
+    return _arrivals(t, "parquet", first, later).select("c_custkey", "c_nationkey")
+
+
 @query("S15", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def copy_into_idempotent(t: Tables) -> DataFrame:
     """Files loaded before are skipped, so the second and third call change nothing or only add."""

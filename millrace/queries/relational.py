@@ -162,7 +162,7 @@ COUNTRY_DAILY_SQL = """
 """
 
 
-@query("A3 X10 J1 J2 V1 K7", COUNTRY_DAILY_SQL)
+@query("A3 X10 J1 J2 K7", COUNTRY_DAILY_SQL)
 def country_daily_sales(t: Tables) -> DataFrame:
     """Orders and books per country and day.
 

@@ -106,7 +106,8 @@ CUSTOMERS_SQL = """
     view_rows AS (SELECT c_custkey, c_name, n_name AS country, c_mktsegment, c_acctbal
                   FROM customer JOIN nation ON c_nationkey = n_nationkey)
 """
-ALLOWED_SQL = "(SELECT count(*) > 0 FROM members WHERE group_name = '{group}' AND user_name = '" + USER + "')"
+ALLOWED_SQL = "(SELECT count(*) > 0 FROM members WHERE group_name = {group} AND user_name = '" + USER + "')"
+OWN_GROUP_SQL = f"(SELECT n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_name = '{USER}')"
 
 
 def _policy_sql(group: str) -> str:
@@ -124,7 +125,7 @@ def _policy(t: Tables, group: str) -> DataFrame:
     return row_policy(redacted, allowed, "country = 'NATION_7' AND c_acctbal > 0")
 
 
-@query("G1 G4 X18", f"""
+@query("G1 G4", f"""
     WITH {MEMBERS_SQL}, {CUSTOMERS_SQL}
     SELECT c_custkey, 'REDACTED' AS c_name, country, 'REDACTED' AS c_mktsegment, c_acctbal FROM view_rows
 """)
@@ -140,29 +141,34 @@ def filtered_customers(t: Tables) -> DataFrame:
     return row_policy(_customer_view(t), allowed, "country = 'NATION_7' AND c_acctbal > 0")
 
 
-@query("G1 G2 G3 G4", _policy_sql("NATION_20"))
+@query("G1 G2 G3 G4 X18", _policy_sql(OWN_GROUP_SQL))
 def policy_for_one_group(t: Tables) -> DataFrame:
-    """Row policy on top of the redacted view, for a user looked up in the member table."""
-    return _policy(t, "NATION_20")
+    """Row policy on top of the redacted view, for the group that the member table gives the user."""
+    own = _members(t).where(F.col("user_name") == USER).first()["group_name"]
+    return _policy(t, own)
 
 
-@query("G1 G2 G3 G4", _policy_sql("NATION_3"))
+@query("G1 G2 G3 G4", _policy_sql("'no such group'"))
 def policy_for_other_group(t: Tables) -> DataFrame:
-    return _policy(t, "NATION_3")
+    return _policy(t, "no such group")
 
 
 # -- layout -----------------------------------------------------------------------
 
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
 STATS_SQL = ", ".join(
     f"min({c}) AS {c}_min, max({c}) AS {c}_max, CAST(count(*) - count({c}) AS BIGINT) AS {c}_nulls"
-    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    for c in LINE_COLUMNS
 )
 
 
 @query("A9 L6", f"SELECT count(*) AS row_count, {STATS_SQL} FROM lineitem")
 def file_statistics(t: Tables) -> DataFrame:
     """Statistics per file, combined over the files so that the layout does not matter."""
-    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
+    columns = list(LINE_COLUMNS)
     stats = file_stats(t.lineitem, max_columns=len(columns))
     merged = [F.sum("row_count").alias("row_count")]
     for c in columns:
@@ -186,7 +192,7 @@ def partition_sizes(t: Tables) -> DataFrame:
     )
 
 
-LINE_COPY = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate"
+LINE_COPY = ", ".join(LINE_COLUMNS)
 
 
 @query("L4", f"SELECT {LINE_COPY} FROM lineitem")

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import ChangeTable, latest_per_key, missed_rows, newest_wins
+from millrace.operators import ChangeTable, Insert, Update, latest_per_key, missed_rows, newest_wins
 from millrace.plans.feeds import EVENT_CUT, ORDER_CUT, message_batches
 from millrace.plans.inputs import Tables, countries, customer_profiles, order_documents
 from millrace.plans.medallion import Medallion, daily_by_country
@@ -231,6 +231,20 @@ def newest_event_stream(t: Tables) -> DataFrame:
     return table.current()
 
 
+@query("R2 W12", "SELECT event_type, count(*) AS n, max(value) AS highest FROM events GROUP BY 1")
+def counts_by_update(t: Tables) -> DataFrame:
+    """A streaming aggregate in update mode: each micro-batch hands on the changed groups, which are merged."""
+    folder = new_folder(t.spark, "updates")
+    table = ChangeTable(t.spark, f"{folder}/t", "event_type STRING, n BIGINT, highest DOUBLE", ["event_type"])
+    counts = t.stream("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("highest"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.merge(batch, ["event_type"], [Update()], [Insert()], writer="counts", batch=batch_id)
+
+    each_batch(counts, write, f"{folder}/checkpoint", mode="update")
+    return table.current()
+
+
 # -- the multi-topic flow ---------------------------------------------------------
 
 

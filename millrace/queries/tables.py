@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import replace_table, table_detail
+from millrace.operators import replace_table, snapshots, table_detail
 from millrace.plans.inputs import Tables
 from millrace.queries.registry import query
 from millrace.session import new_folder
@@ -214,3 +214,25 @@ def temporary_views(t: Tables) -> DataFrame:
     t.spark.sql(f"DROP VIEW global_temp.{name}")
     t.spark.catalog.dropTempView(f"{name}_local")
     return rows
+
+
+@query("W5 W6 W7 W15", """
+    WITH urgent AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'),
+         high AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '2-HIGH')
+    SELECT *, CAST(2 AS BIGINT) AS snapshot_count FROM (SELECT * FROM urgent UNION ALL SELECT * FROM high UNION ALL SELECT * FROM high)
+""")
+def four_writes(t: Tables) -> DataFrame:
+    """One table created, replaced, overwritten and appended to; earlier snapshots stay."""
+    folder, name = new_folder(t.spark, "four-writes"), f"millrace_four_{uuid.uuid4().hex[:8]}"
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    chosen = lambda p: rows.where(F.col("o_orderpriority") == p).drop("o_orderpriority")
+    replace_table(chosen("5-LOW"), name, folder)
+    replace_table(chosen("2-HIGH"), name, folder)
+    urgent, high = f"{name}_urgent", f"{name}_high"
+    chosen("1-URGENT").createOrReplaceTempView(urgent)
+    chosen("2-HIGH").createOrReplaceTempView(high)
+    t.spark.sql(f"INSERT OVERWRITE {name} TABLE {urgent}")
+    for _ in range(2):
+        t.spark.sql(f"INSERT INTO {name} TABLE {high}")
+    count = snapshots(t.spark, folder, t.spark.table(name).schema).count()
+    return t.spark.table(name).withColumn("snapshot_count", F.lit(count).cast("bigint"))

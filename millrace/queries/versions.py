@@ -98,7 +98,7 @@ def current_version(t: Tables) -> DataFrame:
     return _versioned(t).current()
 
 
-@query("W18 R3", """
+@query("W18", """
     SELECT CAST(1 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS rows_inserted,
            CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted FROM part
     UNION ALL SELECT 2, 'UPDATE', 0, count(*), 0 FROM part WHERE p_type = 'PROMO'
@@ -160,3 +160,21 @@ def table_differences(t: Tables) -> DataFrame:
     old = t.customer.where("c_nationkey < 20").select(key, balance.alias("v"))
     raised = F.when(balance < 0, 0.0).otherwise(balance).alias("v")
     return diff_changes(old, t.customer.where("c_nationkey >= 5").select(key, raised), ["k"])
+
+
+@query("Q1 Q2 Q3 Q4", f"""
+    SELECT p_partkey, p_name, p_type, p_size, p_retailprice, 'sensible_price' AS constraints
+    FROM ({V1}) WHERE p_size <= 25
+""")
+def rejected_write(t: Tables) -> DataFrame:
+    """A table with a constraint of its own: the insert that breaks it changes nothing, the other one counts."""
+    table = ChangeTable(t.spark, new_folder(t.spark, "parts"), SCHEMA, ["p_partkey"])
+    table.insert(_parts(t).where("p_size <= 10"))
+    table.add_constraint("sensible_price", "p_retailprice > 0")
+    broken = _parts(t).where("p_size > 10").withColumn("p_retailprice", F.when(F.col("p_size") > 40, -1.0).otherwise(F.col("p_retailprice")))
+    try:
+        table.insert(broken)
+    except ValueError:
+        table.insert(broken.where("p_size <= 25"))
+    names = ",".join(table.constraints())
+    return table.current().withColumn("constraints", F.lit(names))
