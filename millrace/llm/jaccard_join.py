@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.arrow import batches_of
 from millrace.llm.common import kept, registered, shuffle_partitions, table
@@ -39,13 +40,16 @@ ORDERS = (101, 202, 303)
 #: Rounds that verify each class against one hub before the full round.
 HUB_ROUNDS = 2
 #: Shingles gathered before a task sends them.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _HASH = ByteHash(21, lower=True)
-_ENTRY_SCHEMA = pa.schema([("route", pa.int32()), ("answer", pa.bool_()), ("classes", pa.binary()), ("counts", pa.binary()),
+#: A class on its way: its digest and the size of its set.
+_CLASS = np.dtype([("digest", "V16"), ("n", "<u4")])
+_ENTRY_SCHEMA = pa.schema([("route", pa.int32()), ("classes", pa.binary()), ("counts", pa.binary()),
                            ("keys", pa.binary()), ("again", pa.binary())])
-_ENTRIES = "route int, answer boolean, classes binary, counts binary, keys binary, again binary"
-_SHARED_SCHEMA = pa.schema([("class", pa.binary()), ("keys", pa.binary())])
+_ENTRIES = "route int, classes binary, counts binary, keys binary, again binary"
+_SHARED_SCHEMA = pa.schema([("gather", pa.int32()), ("classes", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary())])
+_NODE_SCHEMA = pa.schema([("class", pa.binary()), ("n", pa.int64()), ("keys", pa.binary())])
 
 
 def needed(n: int) -> int:
@@ -72,13 +76,38 @@ def _class_of(keys: np.ndarray) -> bytes:
     return hashlib.blake2b(keys.tobytes(), digest_size=16).digest()
 
 
-def _classes(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = list(_sets(batch.column("text")))
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], type=pa.int64()),
-            pa.array([_class_of(s) if len(s) else None for s in sets], type=pa.binary()),
-        ], names=["doc_id", "n_shingles", "class"])
+def _classes(others: list[str]):
+    def run(batches):
+        for batch in batches:
+            sets = list(_sets(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c) for c in others), pa.array([len(s) for s in sets], type=pa.int64()),
+                pa.array([_class_of(s) if len(s) else None for s in sets], type=pa.binary()),
+            ], names=[*others, "n_shingles", "class"])
+
+    return run
+
+
+def _named(keys_of: dict[bytes, np.ndarray]) -> np.ndarray:
+    out = np.empty(len(keys_of), dtype=_CLASS)
+    out["digest"] = np.frombuffer(b"".join(keys_of), dtype="V16")
+    out["n"] = [len(k) for k in keys_of.values()]
+    return out
+
+
+def _parts(routes: np.ndarray, owners: np.ndarray, keys: np.ndarray, names: np.ndarray, n: int) -> list[dict | None]:
+    """For each route: the classes with keys there, how many each has, and the keys."""
+    order = np.lexsort((owners, routes))
+    routes, owners, keys = routes[order], owners[order], keys[order]
+    cuts, out = np.searchsorted(routes, np.arange(n + 1)), []
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        at = np.flatnonzero(np.diff(owners[i:j], prepend=-1))
+        out.append({"classes": names[owners[i:j][at]].tobytes(), "counts": planes(np.diff(at, append=j - i)),
+                    "keys": keys[i:j].tobytes()} if j > i else None)
+    return out
+
+
+_NOTHING = {"classes": b"", "counts": b"", "keys": b""}
 
 
 class _Chunk:
@@ -95,41 +124,30 @@ class _Chunk:
                 self.size += len(keys)
 
     def rows(self) -> Iterator[dict]:
-        """What two classes here share is answered at once; the rest goes to the buckets."""
+        """What two classes here share is known at once and goes to the first bucket of each class, marked by a
+        negative route; of the rest, and once for what they share, the keys go to the keys' buckets."""
         if not self.size:
             return
-        names = np.frombuffer(b"".join(self.classes), dtype="V16")
-        keys = np.concatenate(list(self.classes.values()))
-        owners = np.repeat(np.arange(len(names)), [len(k) for k in self.classes.values()])
+        names, keys = _named(self.classes), np.concatenate(list(self.classes.values()))
+        owners = np.repeat(np.arange(len(names)), names["n"].astype(np.int64))
         order = np.argsort(keys, kind="stable")
         equal = keys[order][1:] == keys[order][:-1]
         follows, leads = np.concatenate([[False], equal]), np.concatenate([equal, [False]])
         shared = np.zeros(len(keys), dtype=bool)
         shared[order] = follows | leads
-        for i, mine in _runs(owners[shared], keys[shared]):
-            name = names[i].tobytes()
-            yield {"route": int.from_bytes(name[:4], "little") % self.buckets, "answer": True, "classes": name,
-                   "counts": b"", "keys": mine.tobytes(), "again": b""}
-        routes = (keys % U64(self.buckets)).astype(np.int32)
-        once = np.flatnonzero(~shared)
-        once = once[np.argsort(routes[once], kind="stable")]
-        more = order[leads & ~follows]
-        more = more[np.argsort(routes[more], kind="stable")]
-        cuts = np.arange(self.buckets + 1)
-        a, b = np.searchsorted(routes[once], cuts), np.searchsorted(routes[more], cuts)
-        for route in range(self.buckets):
-            mine, also = once[a[route]:a[route + 1]], more[b[route]:b[route + 1]]
-            if len(mine) or len(also):
-                at = np.flatnonzero(np.diff(owners[mine], prepend=-1))
-                yield {"route": route, "answer": False, "classes": names[owners[mine][at]].tobytes(),
-                       "counts": planes(np.diff(at, append=len(mine))), "keys": keys[mine].tobytes(),
-                       "again": keys[also].tobytes()}
-
-
-def _runs(owners: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    cuts = np.flatnonzero(np.diff(owners, prepend=-1, append=-1)) if len(owners) else []
-    for i, j in zip(cuts[:-1], cuts[1:]):
-        yield int(owners[i]), values[i:j]
+        again = np.sort(keys[order[leads & ~follows]])
+        home = np.frombuffer(names["digest"].tobytes(), dtype="<u4").reshape(-1, 4)[:, 0] % np.uint32(self.buckets)
+        for route, part in enumerate(_parts(home[owners[shared]], owners[shared], keys[shared], names, self.buckets)):
+            if part:
+                yield {"route": -1 - route, "again": b"", **part}
+        more = (again % U64(self.buckets)).astype(np.int64)
+        again = again[np.argsort(more, kind="stable")]
+        cuts = np.searchsorted(np.sort(more), np.arange(self.buckets + 1))
+        routes = (keys[~shared] % U64(self.buckets)).astype(np.int64)
+        for route, part in enumerate(_parts(routes, owners[~shared], keys[~shared], names, self.buckets)):
+            also = again[cuts[route]:cuts[route + 1]]
+            if part or len(also):
+                yield {"route": route, "again": also.tobytes(), **(part or _NOTHING)}
 
 
 def _entries(buckets: int):
@@ -148,65 +166,113 @@ def _entries(buckets: int):
     return run
 
 
-def _bucket(rows: list[dict]) -> Iterator[tuple[bytes, np.ndarray]]:
-    """Of one bucket, the keys that occur in two classes or more, by class."""
-    keys = np.concatenate([np.frombuffer(r["keys"], dtype=U64) for r in rows])
-    names = np.concatenate([np.frombuffer(r["classes"], dtype="V16") for r in rows])
-    counts = np.concatenate([from_planes(r["counts"]) for r in rows]).astype(np.int64)
-    distinct: dict[bytes, int] = {}
-    owners = np.repeat([distinct.setdefault(n.tobytes(), len(distinct)) for n in names], counts).astype(np.int64)
-    order = np.lexsort((owners, keys))
-    keys, owners = keys[order], owners[order]
-    if len(keys):  # the same class can come from several chunks
-        first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
-        keys, owners = keys[first], owners[first]
-    equal = keys[1:] == keys[:-1]
-    shared = np.concatenate([[False], equal]) | np.concatenate([equal, [False]]) if len(keys) else np.empty(0, dtype=bool)
+class _Owned:
+    """Keys with their owners, of rows of classes, counts and keys."""
+
+    def __init__(self):
+        self.numbers: dict[bytes, int] = {}
+        self.keys, self.owners = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
+
+    def add(self, row: dict) -> None:
+        names = row["classes"]
+        own = [self.numbers.setdefault(names[i:i + _CLASS.itemsize], len(self.numbers)) for i in range(0, len(names), _CLASS.itemsize)]
+        self.owners.append(np.repeat(np.array(own, dtype=np.int64), from_planes(row["counts"]).astype(np.int64)))
+        self.keys.append(np.frombuffer(row["keys"], dtype=U64))
+
+    def names(self) -> np.ndarray:
+        return np.frombuffer(b"".join(self.numbers), dtype=_CLASS)
+
+    def distinct(self, slices: int = 8) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Sorted keys and owners, each pair once, a slice of the keys at a time to bound the memory."""
+        keys, owners = np.concatenate(self.keys), np.concatenate(self.owners)
+        part = (keys >> U64(61)).astype(np.int8)
+        for k in range(slices):
+            mine = np.flatnonzero(part == k)
+            mine = mine[np.lexsort((owners[mine], keys[mine]))]
+            a, b = keys[mine], owners[mine]
+            if len(a):
+                first = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+                yield a[first], b[first]
+
+
+def _shared_in(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of one bucket, the keys that occur in two classes or more, their owners, and the classes."""
+    held = _Owned()
+    for row in rows:
+        held.add(row)
     again = np.unique(np.concatenate([np.frombuffer(r["again"], dtype=U64) for r in rows]))
-    if len(again) and len(keys):
-        at = np.minimum(np.searchsorted(again, keys), len(again) - 1)
-        shared |= again[at] == keys
-    keys, owners = keys[shared], owners[shared]
-    order = np.argsort(owners, kind="stable")
-    by_number = list(distinct)
-    for i, mine in _runs(owners[order], keys[order]):
-        yield by_number[i], mine
-
-
-def _shared(batches) -> Iterator[pa.RecordBatch]:
-    told: dict[bytes, list[np.ndarray]] = {}
-
-    def take(pairs) -> None:
-        for name, keys in pairs:
-            got = told.setdefault(name, [])
-            got.append(keys)
-            if len(got) > 64:
-                told[name] = [np.unique(np.concatenate(got))]
-
-    held: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["answer"]:
-                take([(row["classes"], np.frombuffer(row["keys"], dtype=U64))])
-                continue
-            if held and held[0]["route"] != row["route"]:
-                take(_bucket(held))
-                held = []
-            held.append(row)
-    if held:
-        take(_bucket(held))
-    yield from batches_of(({"class": k, "keys": np.unique(np.concatenate(v)).tobytes()} for k, v in told.items()), _SHARED_SCHEMA)
+    keys_out, owners_out = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
+    for keys, owners in held.distinct():
+        equal = keys[1:] == keys[:-1]
+        shared = np.concatenate([[False], equal]) | np.concatenate([equal, [False]])
+        if len(again):
+            shared |= again[np.minimum(np.searchsorted(again, keys), len(again) - 1)] == keys
+        keys_out.append(keys[shared])
+        owners_out.append(owners[shared])
+    return np.concatenate(keys_out), np.concatenate(owners_out), held.names()
+
+
+def _shared(gatherers: int):
+    """The shared keys of each bucket, sent on by class: one row for each bucket and gathering task."""
+
+    def rows(batches):
+        def done(held: list[dict]) -> Iterator[dict]:
+            keys, owners, names = _shared_in(held)
+            home = (np.frombuffer(names["digest"].tobytes(), dtype="<u4").reshape(-1, 4)[:, 1] % np.uint32(gatherers)).astype(np.int64)
+            for gather, part in enumerate(_parts(home[owners], owners, keys, names, gatherers)):
+                if part:
+                    yield {"gather": gather, **part}
+
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["route"] < 0:
+                    own = _Owned()
+                    own.add(row)
+                    names = own.names()
+                    home = (np.frombuffer(names["digest"].tobytes(), dtype="<u4").reshape(-1, 4)[:, 1] % np.uint32(gatherers)).astype(np.int64)
+                    owners = own.owners[-1]
+                    for gather, part in enumerate(_parts(home[owners], owners, own.keys[-1], names, gatherers)):
+                        if part:
+                            yield {"gather": gather, **part}
+                    continue
+                if held and held[0]["route"] != row["route"]:
+                    yield from done(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from done(held)
+
+    return lambda batches: batches_of(rows(batches), _SHARED_SCHEMA)
 
 
 def _candidates(batches) -> Iterator[pa.RecordBatch]:
-    """Classes whose shared shingles reach 80 % of their set."""
-    for batch in batches:
-        rows = []
-        for row in batch.to_pylist():
-            keys = np.unique(np.concatenate([np.frombuffer(k, dtype=U64) for k in row["parts"]]))
-            if len(keys) >= needed(row["n"]):
-                rows.append({"class": row["class"], "n": row["n"], "keys": keys.tobytes()})
-        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("class", pa.binary()), ("n", pa.int64()), ("keys", pa.binary())]))
+    """Classes whose shared shingles reach 80 % of their set; rows come by gathering number."""
+
+    def done(held: _Owned) -> Iterator[dict]:
+        names = held.names()
+        pairs = list(held.distinct())
+        if not pairs:
+            return
+        keys, owners = (np.concatenate(x) for x in zip(*pairs))
+        order = np.lexsort((keys, owners))
+        keys, owners = keys[order], owners[order]
+        cuts = np.searchsorted(owners, np.arange(len(names) + 1))
+        for i, (digest, n) in enumerate(names.tolist()):
+            if cuts[i + 1] - cuts[i] >= needed(n):
+                yield {"class": bytes(digest), "n": n, "keys": keys[cuts[i]:cuts[i + 1]].tobytes()}
+
+    def rows():
+        held, number = _Owned(), None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["gather"] != number:
+                    yield from done(held)
+                    held, number = _Owned(), row["gather"]
+                held.add(row)
+        yield from done(held)
+
+    return batches_of(rows(), _NODE_SCHEMA)
 
 
 def _prefixes(batches) -> Iterator[pa.RecordBatch]:
@@ -297,6 +363,27 @@ def jaccard_links(nodes: DataFrame) -> DataFrame:
     return kept(links.unionByName(_verified(_cross_pairs(_with_component(prefixes, found)), nodes)), "links")
 
 
+def _labelled(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (all columns of ``texts`` but the text, n_shingles, class) and (class, component_id, root)."""
+    spark = texts.sparkSession
+    others = [f for f in texts.schema.fields if f.name != "text"]
+    rows = kept(texts.mapInArrow(_classes([f.name for f in others]), T.StructType(
+        [*others, T.StructField("n_shingles", T.LongType()), T.StructField("class", T.BinaryType())])), "classes")
+    classes = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first_id"))
+    partitions = max(4, shuffle_partitions(spark) // 2)
+    gatherers = shuffle_partitions(spark)
+    dealt = texts.select("text").mapInArrow(_entries(partitions), _ENTRIES).repartition(
+        partitions, F.expr("CASE WHEN route < 0 THEN -1 - route ELSE route END")).sortWithinPartitions("route")
+    shared = dealt.mapInArrow(_shared(gatherers), "gather int, classes binary, counts binary, keys binary")
+    nodes = kept(shared.repartition(gatherers, "gather").sortWithinPartitions("gather").mapInArrow(
+        _candidates, "class binary, n long, keys binary"), "candidates")
+    found = components(jaccard_links(nodes))
+    rooted = classes.join(found, classes["class"] == found["node"], "left").select(
+        "class", "first_id", F.coalesce("root", "class").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rows, rooted.join(smallest, "root").select("class", "component_id", "root")
+
+
 def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Components of near-duplicate texts: (doc_id, n_shingles, component_id), one row per input row.
 
@@ -305,29 +392,29 @@ def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     id. Rows with equal texts always link, also rows with the same id. A null id never is the
     smallest, so it gets another's id or, alone, null. Other columns are ignored.
     """
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    spark = docs.sparkSession
-    rows = kept(texts.mapInArrow(_classes, "doc_id long, n_shingles long, class binary"), "classes")
-    classes = rows.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"))
-    partitions = max(4, shuffle_partitions(spark) // 2)
-    dealt = texts.select("text").mapInArrow(_entries(partitions), _ENTRIES).repartition(
-        partitions, "route").sortWithinPartitions("route", "answer")
-    shared = dealt.mapInArrow(_shared, "class binary, keys binary").groupBy("class").agg(
-        F.sum(F.octet_length("keys")).alias("bytes"), F.collect_list("keys").alias("parts"))
-    enough = shared.join(classes.select("class", "n"), "class").where(
-        F.col("bytes") / 8 * 100 >= PERCENT * F.col("n")).select("class", "n", "parts")
-    nodes = kept(enough.mapInArrow(_candidates, "class binary, n long, keys binary"), "candidates")
-    found = components(jaccard_links(nodes))
-    rooted = classes.join(found, classes["class"] == found["node"], "left").select(
-        "class", "first_id", F.coalesce("root", "class").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(smallest, "root").select("class", "component_id")
+    rows, labels = _labelled(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
     linked = rows.where("class IS NOT NULL").join(labels, "class").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("class IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each component, unchanged; texts without words all stay.
+
+    A row is known by a digest of its id and text, so rows that repeat both leave one row. A component in which
+    all ids are null keeps one of its rows.
+    """
+    row = F.md5(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.col(text).cast("string")))
+    keyed = docs.withColumn("__row", F.unhex(row))
+    worded = F.coalesce(F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows, labels = _labelled(keyed.where(worded).select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), "__row"))
+    first = rows.join(labels, "class").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))["__row"].alias("__row"))
+    chosen = keyed.where(worded).join(first.select("__row"), "__row").dropDuplicates(["__row"]).drop("__row")
+    return chosen.select(docs.columns).unionByName(docs.where(~worded))
+
+
 _SQL = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
