@@ -131,7 +131,47 @@ def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: st
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-@registered()
+_FLOORS_SQL = ", ".join(
+    f"greatest({floor}::DOUBLE, quantile_disc({m}, 0.5) + {SPREADS} * (quantile_disc({m}, 0.75) - quantile_disc({m}, 0.5))) AS most_{m}"
+    for m, floor in FLOORS.items())
+_FITS_SQL = " AND ".join(
+    f"{m} <= coalesce(own.most_{m}, language.most_{m}, general.most_{m}, {floor})" for m, floor in FLOORS.items())
+_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS l, coalesce(source, '') AS s, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), starts AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + {REPEAT_WINDOW - 1}], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {REPEAT_WINDOW - 2})) AS i FROM texts WHERE len(ws) >= {REPEAT_WINDOW})
+), again AS (
+  SELECT doc_id, i FROM starts QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {REPEAT_WINDOW})) AS p FROM again) GROUP BY 1
+), m AS (
+  SELECT texts.doc_id, l, s, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts LEFT JOIN repeated ON texts.doc_id = repeated.doc_id
+), shares AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
+         n_symbols / greatest(n_words, 1) AS symbol_share, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
+         n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS word_length
+  FROM m
+), limits AS (
+  SELECT l, s, grouping(l) AS no_l, grouping(s) AS no_s, count(*) AS texts, {_FLOORS_SQL}
+  FROM shares WHERE NOT base_failed GROUP BY ROLLUP (l, s)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_FITS_SQL} AS kept
+FROM shares
+LEFT JOIN (SELECT * FROM limits WHERE no_s = 0 AND texts >= {LEAST}) own ON own.l = shares.l AND own.s = shares.s
+LEFT JOIN (SELECT * FROM limits WHERE no_s = 1 AND no_l = 0 AND texts >= {LEAST}) language ON language.l = shares.l
+LEFT JOIN (SELECT * FROM limits WHERE no_l = 1) general ON true
+"""
+
+
+@registered(_SQL)
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with their measures and verdict."""
     return judged(table(spark, folder, "documents"))
