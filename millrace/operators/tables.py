@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def replace_table(df: DataFrame, name: str, folder: str, snapshot: str | None = None) -> str:
+def replace_table(df: DataFrame, name: str, folder: str, snapshot: str | None = None,
+                  spark: SparkSession | None = None) -> str:
     """``CREATE OR REPLACE TABLE name AS df`` on parquet.
 
     Writes a new snapshot below ``folder`` and then points the table ``name`` at it, so INSERT
     statements work on it like on any table. A failed write leaves the table as it was,
     earlier snapshots stay readable under their paths (``snapshots``), and ``df`` may read
-    ``name`` itself. Only a change of the columns drops the name for a moment.
+    ``name`` itself. Only a change of the columns drops the name for a moment. Sessions keep
+    what they know about a table: from within a micro-batch, give the session that reads it.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = f"{folder.rstrip('/')}/snapshot={snapshot or f'{time.time_ns()}-{uuid.uuid4().hex[:8]}'}"
     df.write.mode("overwrite").parquet(path)
     if spark.catalog.tableExists(name) and spark.table(name).schema.simpleString() == df.schema.simpleString():

@@ -75,7 +75,7 @@ def complete_writer(stream: DataFrame, name: str, folder: str) -> DataStreamWrit
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        replace_table(batch, name, folder, snapshot=f"{batch_id:012d}")
+        replace_table(batch, name, folder, snapshot=f"{batch_id:012d}", spark=stream.sparkSession)
 
     return stream.writeStream.outputMode("complete").foreachBatch(write)
 

@@ -147,3 +147,13 @@ def test_merge_equals_brute_force_and_its_changes(spark, target, source):
         else:
             state[row[0]] = tuple(row)
     assert sorted(state.values()) == want
+
+
+def test_unique_source_takes_one_scan_of_each_side(spark, folder):
+    spark.range(50).selectExpr("CAST(id AS INT) AS id", "'a' AS v").write.parquet(f"{folder}/t")
+    spark.range(25, 75).selectExpr("CAST(id AS INT) AS id", "'b' AS v").write.parquet(f"{folder}/s")
+    target, source = spark.read.parquet(f"{folder}/t"), spark.read.parquet(f"{folder}/s")
+    clauses = {"matched": [Update(when="t.v <> s.v")], "not_matched": [Insert()]}
+    for merge in (merge_rows, merge_changes):
+        plan = merge(target, source, ["id"], **clauses)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2, plan

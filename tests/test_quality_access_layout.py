@@ -6,9 +6,9 @@ from millrace.functions import is_member, redact, row_policy
 from millrace.operators import (
     Check, CheckViolation, add_check, archive_partitions, assert_unique, compact, drop_check, enforce,
     file_stats, item_sets, lookup_join, missed_rows, not_null, partition_report, replace_table,
-    salted_join, split_valid, table_detail, zorder,
+    salted_join, snapshots, split_valid, table_detail, zorder,
 )
-from millrace.operators.layout import files_of, with_z_value
+from millrace.operators.layout import files_of, with_z_value, zorder_bits
 
 ORDERS = "id STRING, at STRING, quantity INT"
 
@@ -134,6 +134,17 @@ def test_zorder_clusters_both_columns(spark, folder):
     assert touched.count() <= 4
 
 
+def test_z_ranges_of_strings_with_a_common_prefix(spark):
+    names = spark.range(1000).selectExpr("format_string('Customer#%09d', id) AS name").withColumn("other", F.lit("x"))
+    z = with_z_value(names, ["name"], bits=6).select("name", "_z").collect()
+    assert len({r["_z"] for r in z}) > 50
+    ordered = [r["_z"] for r in sorted(z, key=lambda r: r["name"])]
+    assert ordered == sorted(ordered)
+    odd = spark.createDataFrame([(None,), ("",), ("a",), ("Z",)], "name STRING")
+    assert with_z_value(odd, ["name"], bits=2).count() == 4
+    assert zorder_bits(2, 16) == 6 and 2 * zorder_bits(2, 1_000_000) > 20 and zorder_bits(4, 10**9) * 4 <= 62
+
+
 def test_zorder_spreads_one_common_value(spark, folder):
     spark.range(20000).selectExpr("1 AS a", "'x' AS b").repartition(4).write.parquet(f"{folder}/t")
     table = spark.read.parquet(f"{folder}/t")
@@ -202,7 +213,13 @@ def test_replaced_table_keeps_old_snapshots(spark, folder):
     with pytest.raises(Exception):
         replace_table(spark.table("replaced_t").selectExpr("raise_error('no') AS id"), "replaced_t", folder)
     assert spark.table("replaced_t").count() == 2
-    spark.sql("DROP VIEW replaced_t")
+    spark.sql("INSERT INTO replaced_t VALUES (9, 'y')")
+    assert spark.table("replaced_t").count() == 3
+    spark.range(1).selectExpr("id", "'z' AS more").createOrReplaceTempView("only_z")
+    spark.sql("INSERT OVERWRITE replaced_t TABLE only_z")
+    assert rows(spark.table("replaced_t")) == [(0, "z")]
+    assert snapshots(spark, folder, "id BIGINT").count() == 2
+    spark.sql("DROP TABLE replaced_t")
 
 
 def test_small_tables_are_readable():
