@@ -10,11 +10,10 @@ shingles (of A-Z lower-cased words). The result is exact for the links' componen
 3. Three global orders arrange the shared shingles by three hashes. Linked classes must have
    a token in common in their prefixes under each order.
 4. Hub rounds: every class is verified against one hub it shares a prefix token with, so that a
-   large group of near copies becomes one component with as many pairs as it has classes.
-5. Full round: under each order, pairs that share a prefix token, lie in different components and
-   can still reach the needed overlap; the three candidate sets are intersected, then verified.
-   Pairs inside a component can't change it and aren't made. In a group of classes with the same
-   token, the largest component only meets the classes outside it.
+   large group of near copies becomes few components with as many pairs as it has classes.
+5. Full round: classes of different components that share a prefix token and can reach the needed
+   overlap form families. A family's sets meet in a task, block by block; pairs that share prefix tokens
+   under all three orders are verified there. Pairs are never rows; only links that join components are.
 """
 
 from __future__ import annotations
@@ -39,6 +38,10 @@ PERCENT = 80
 ORDERS = (101, 202, 303)
 #: Rounds that verify each class against one hub before the full round.
 HUB_ROUNDS = 2
+#: Classes of one token, or of one family, that a task holds from each of two blocks.
+BLOCK = 1024
+#: Digests of rows that are sent to every task, in bytes; more are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 #: Shingles gathered before a task sends them.
 CHUNK = 1 << 19
 
@@ -275,22 +278,24 @@ def _candidates(batches) -> Iterator[pa.RecordBatch]:
     return batches_of(rows(), _NODE_SCHEMA)
 
 
+def _prefix(keys: np.ndarray, n: int, order: int) -> np.ndarray:
+    """The shared part of a set's prefix under an order, in that order."""
+    return np.sort(mix(keys + U64(ORDERS[order])))[:max(0, n - needed(n) + 1 - (n - len(keys)))]
+
+
 def _prefixes(batches) -> Iterator[pa.RecordBatch]:
-    """The shared part of each prefix; ``left``: shared shingles from the token on."""
+    """Prefix tokens of the first order; ``left``: shared shingles from the token on."""
     for batch in batches:
-        out = {"ord": [], "token": [], "class": [], "n": [], "left": []}
+        out = {"token": [], "class": [], "n": [], "left": []}
         for row in batch.to_pylist():
             keys, n = np.frombuffer(row["keys"], dtype=U64), row["n"]
-            size = n - needed(n) + 1 - (n - len(keys))
-            for k, seed in enumerate(ORDERS):
-                first = np.sort(mix(keys + U64(seed)))[:size].view(np.int64)
-                out["ord"] += [k] * len(first)
-                out["token"] += first.tolist()
-                out["class"] += [row["class"]] * len(first)
-                out["n"] += [n] * len(first)
-                out["left"] += range(len(keys), len(keys) - len(first), -1)
+            first = _prefix(keys, n, 0).view(np.int64)
+            out["token"] += first.tolist()
+            out["class"] += [row["class"]] * len(first)
+            out["n"] += [n] * len(first)
+            out["left"] += range(len(keys), len(keys) - len(first), -1)
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-            [("ord", pa.int32()), ("token", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("left", pa.int64())]))
+            [("token", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("left", pa.int64())]))
 
 
 def _links(batches) -> Iterator[pa.RecordBatch]:
@@ -326,41 +331,140 @@ def _with_component(prefixes: DataFrame, found: DataFrame | None) -> DataFrame:
         "comp", F.coalesce("root", "class")).drop("node", "root")
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
-    """For each class, the hub of another component it shares most tokens of the first order with."""
-    first = members.where("ord = 0")
-    hubs = first.groupBy("token").agg(F.min(F.struct("class", "n", "left", "comp")).alias("hub"))
-    close = first.join(hubs, "token").where(F.col("comp") != F.col("hub.comp")).where(
+def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """For each class, the hub of another component it shares most tokens with; other hubs in every turn."""
+    drawn = F.struct(F.xxhash64("class", F.lit(turn)).alias("draw"), "class", "n", "left", "comp")
+    hubs = members.groupBy("token").agg(F.min(drawn).alias("hub"))
+    close = members.join(hubs, "token").where(F.col("comp") != F.col("hub.comp")).where(
         _reachable(F.col("left"), F.col("n"), F.col("hub.left"), F.col("hub.n")))
     counted = close.groupBy("class", F.col("hub.class").alias("b")).agg(F.count("*").alias("tokens"))
     return counted.groupBy(F.col("class").alias("a")).agg(F.max(F.struct("tokens", "b")).alias("best")).select("a", "best.b")
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs from different components that share a prefix token under every order."""
-    sizes = members.groupBy("ord", "token", "comp").agg(F.count("*").alias("size"))
-    mixed = sizes.groupBy("ord", "token").agg(
-        F.max(F.struct("size", "comp"))["comp"].alias("major"), F.count("*").alias("parts")).where("parts > 1")
-    inside = members.join(mixed, ["ord", "token"])
-    minor = inside.where("comp != major").select(
-        "ord", "token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.col("comp").alias("comp_a"))
-    pairs = minor.join(inside, ["ord", "token"]).where(
-        (F.col("comp") != F.col("comp_a")) & ((F.col("comp") == F.col("major")) | (F.col("a") < F.col("class")))
-        & _reachable(F.col("left_a"), F.col("n_a"), F.col("left"), F.col("n")))
-    ordered = pairs.select("ord", F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"))
-    orders = ordered.groupBy("a", "b").agg(F.bit_or(F.expr("shiftleft(1, ord)")).alias("orders"))
-    return orders.where(F.col("orders") == (1 << len(ORDERS)) - 1).select("a", "b")
+def _partners(rows: list[dict], comp: np.ndarray, bound: np.ndarray, n: np.ndarray, block: np.ndarray, i: int) -> np.ndarray:
+    """Rows before i of another component (and, between two blocks, of the other one) that can reach the overlap."""
+    out = (comp[:i] != comp[i]) & (np.minimum(bound[:i], bound[i]) * (100 + PERCENT) >= (n[:i] + n[i]) * PERCENT)
+    return out & (block[:i] != block[i]) if rows[0]["low"] != rows[0]["high"] else out
+
+
+def _columns(rows: list[dict]) -> tuple[np.ndarray, ...]:
+    number = {c: i for i, c in enumerate(dict.fromkeys(r["comp"] for r in rows))}
+    return (np.array([number[r["comp"]] for r in rows]), np.array([r["left"] for r in rows]),
+            np.array([r["n"] for r in rows]), np.array([r["block"] for r in rows]))
+
+
+def _meet(rows: list[dict]) -> Iterator[dict]:
+    """Members of a token with a possible partner, each tied to the first of them."""
+    comp, left, n, block = _columns(rows)
+    meets = np.zeros(len(rows), dtype=bool)
+    for i in range(1, len(rows)):
+        partners = _partners(rows, comp, left, n, block, i)
+        if partners.any():
+            meets[i] = True
+            meets[:i] |= partners
+    found = np.flatnonzero(meets)
+    for i in found[1:]:
+        yield {"a": rows[i]["class"], "b": rows[found[0]]["class"]}
+
+
+def _join_components(rows: list[dict]) -> Iterator[dict]:
+    """Links of a family that join components, at most one fewer than there are components."""
+    comp, shared, n, block = _columns(rows)
+    sets = [np.frombuffer(r["keys"], dtype=U64) for r in rows]
+    orders = [_Postings([_prefix(k, int(m), o) for k, m in zip(sets, n)]) for o in range(len(ORDERS))]
+    whole = _Postings(sets)
+    for i in range(1, len(rows)):
+        partners = _partners(rows, comp, shared, n, block, i)
+        for order in orders:  # a link shares a prefix token under each order
+            if partners.any():
+                partners &= order.common(i)[:i] > 0
+        if not partners.any():
+            continue
+        both = whole.common(i)[:i]
+        for j in np.flatnonzero(partners & (100 * both >= PERCENT * (n[:i] + n[i] - both))):
+            if comp[i] != comp[j]:
+                comp[comp == comp[j]] = comp[i]
+                yield {"a": rows[i]["class"], "b": rows[j]["class"]}
+
+
+class _Postings:
+    """An inverted index of a group's sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = len(sets)
+        owners = np.repeat(np.arange(self.size), [len(k) for k in sets])
+        flat, number = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(number, kind="stable")
+        self.owners, self.first = owners[order], np.searchsorted(number[order], np.arange(len(flat) + 1))
+        ends = np.cumsum([len(k) for k in sets])
+        self.tokens = [number[e - len(k):e] for k, e in zip(sets, ends)]
+
+    def common(self, i: int) -> np.ndarray:
+        """How many elements each set has in common with set i."""
+        if not len(self.tokens[i]):
+            return np.zeros(self.size, dtype=np.int64)
+        return np.bincount(np.concatenate([self.owners[self.first[t]:self.first[t + 1]] for t in self.tokens[i]]), minlength=self.size)
+
+
+_PAIR, _PAIR_DDL = pa.schema([("a", pa.binary()), ("b", pa.binary())]), "a binary, b binary"
+
+
+def _by_group(result):
+    """Pairs that ``result`` makes of every run of rows with equal group, low and high."""
+
+    def rows(batches):
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and any(held[0][k] != row[k] for k in ("group", "low", "high")):
+                    yield from result(held) if len(held) > 1 else ()
+                    held = []
+                held.append(row)
+        yield from result(held) if len(held) > 1 else ()
+
+    return lambda batches: batches_of(rows(batches), _PAIR)
+
+
+def _dealt(members: DataFrame, more: list[str]) -> DataFrame:
+    """Rows of (group, size, class, comp, n, left) such that every two blocks of a group meet in a task."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["group", "low", "high"]
+    placed = other.select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                          "block", "class", "comp", "n", "left", *more)
+    return placed.repartition(shuffle_partitions(members.sparkSession), *keys).sortWithinPartitions(*keys)
+
+
+def _cross_links(prefixes: DataFrame, nodes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """All that still joins components: pairs from different ones that share a prefix token under every order.
+
+    First the members of a token meet without their sets, in one task or, where there are more than BLOCK,
+    in one for every two blocks. Those with a possible partner form families, connected by such tokens; a
+    family's sets then meet the same way, so that a set is sent once per block, not once per token.
+    """
+    members = _with_component(prefixes, found)
+    mixed = members.groupBy("token").agg(
+        F.min("comp").alias("lowest"), F.max("comp").alias("highest"), F.count("*").alias("size")).where("lowest <> highest")
+    inside = members.join(mixed.select("token", "size"), "token").withColumnRenamed("token", "group")
+    met = _dealt(inside, []).mapInArrow(_by_group(_meet), _PAIR_DDL).distinct()
+    families = components(met).select(F.col("node").alias("class"), F.col("root").alias("group"))
+    sizes = families.groupBy("group").agg(F.count("*").alias("size"))
+    sets = _with_component(nodes, found).join(families, "class").join(sizes, "group").withColumn(
+        "left", F.octet_length("keys") / 8)
+    return _dealt(sets, ["keys"]).mapInArrow(_by_group(_join_components), _PAIR_DDL)
 
 
 def jaccard_links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) whose components are those of all links among ``nodes`` (class, n, keys)."""
-    prefixes = kept(nodes.mapInArrow(_prefixes, "ord int, token long, class binary, n long, left long"), "prefixes")
+    prefixes = kept(nodes.mapInArrow(_prefixes, "token long, class binary, n long, left long"), "prefixes")
     links, found = None, None
-    for _ in range(HUB_ROUNDS):
-        more = _verified(_hub_pairs(_with_component(prefixes, found)), nodes)
+    for turn in range(HUB_ROUNDS):
+        more = _verified(_hub_pairs(_with_component(prefixes, found), turn), nodes)
         links = kept(more if links is None else links.unionByName(more), "links")
         found = components(links)
-    return kept(links.unionByName(_verified(_cross_pairs(_with_component(prefixes, found)), nodes)), "links")
+    crossing = _cross_links(prefixes, nodes, found)
+    return kept(crossing if links is None else links.unionByName(crossing), "links")
 
 
 def _labelled(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -370,8 +474,7 @@ def _labelled(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = kept(texts.mapInArrow(_classes([f.name for f in others]), T.StructType(
         [*others, T.StructField("n_shingles", T.LongType()), T.StructField("class", T.BinaryType())])), "classes")
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-    partitions = max(4, shuffle_partitions(spark) // 2)
-    gatherers = shuffle_partitions(spark)
+    partitions = gatherers = max(4, shuffle_partitions(spark))
     dealt = texts.select("text").mapInArrow(_entries(partitions), _ENTRIES).repartition(
         partitions, F.expr("CASE WHEN route < 0 THEN -1 - route ELSE route END")).sortWithinPartitions("route")
     shared = dealt.mapInArrow(_shared(gatherers), "gather int, classes binary, counts binary, keys binary")
@@ -409,9 +512,15 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     worded = F.coalesce(F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     rows, labels = _labelled(keyed.where(worded).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), "__row"))
-    first = rows.join(labels, "class").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))["__row"].alias("__row"))
-    chosen = keyed.where(worded).join(first.select("__row"), "__row").dropDuplicates(["__row"]).drop("__row")
+    named = rows.join(labels, "class").select("__row", "doc_id", "root")
+    first = named.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))["__row"].alias("first"))
+    others = kept(named.join(first, "root").where(F.col("__row") != F.col("first")).select("__row"), "others")
+    if others.count() * 16 <= BROADCAST_BYTES:  # then the texts needn't be shuffled
+        others = F.broadcast(others)
+    chosen = keyed.where(worded).join(others, "__row", "left_anti")
+    if not rows.groupBy("__row").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        chosen = chosen.dropDuplicates(["__row"])
     return chosen.select(docs.columns).unionByName(docs.where(~worded))
 
 

@@ -108,8 +108,7 @@ def test_similar_documents(spark, corpus, rounds, monkeypatch):
     prepare(spark)
     monkeypatch.setattr(jaccard_join, "CHUNK", 500)
     monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", rounds)
-    if not rounds:  # links of the full round alone
-        monkeypatch.setattr(jaccard_join, "_with_component", lambda prefixes, found: prefixes.withColumn("comp", prefixes["class"]))
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1024 if rounds else 4)  # without hubs: links of the full round alone, in blocks
     found = jaccard_join.similar_documents(frame(spark, corpus).repartition(3)).collect()
     assert Counter(tuple(r) for r in found) == Counter(plain_components(corpus)[0])
 
