@@ -21,7 +21,7 @@ from millrace.llm.words import U64, ByteHash, column_bytes
 #: The id that ends a document.
 END = 0
 #: Pieces and ids a process remembers before it starts afresh.
-MOST_PIECES, MOST_IDS = 1 << 21, 1 << 24
+MOST_PIECES, MOST_IDS = 1 << 20, 1 << 23
 
 _A, _B = ByteHash(31, white=True), ByteHash(32, white=True)
 _LINE = np.zeros(256, dtype=bool)

@@ -40,7 +40,7 @@ STEMS, EVIDENCE, PURITY = range(4, 9), 2.0, 0.9
 #: Words to each side of a hit that are looked at.
 WINDOW = 6
 #: Words a process remembers the match of.
-MOST_WORDS = 1 << 20
+MOST_WORDS = 1 << 18
 
 # Quotation marks and words of reporting in the corpus's languages.
 QUOTES = "\"“”„«»‹›"
