@@ -474,7 +474,8 @@ def _labelled(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = kept(texts.mapInArrow(_classes([f.name for f in others]), T.StructType(
         [*others, T.StructField("n_shingles", T.LongType()), T.StructField("class", T.BinaryType())])), "classes")
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-    partitions = gatherers = max(4, shuffle_partitions(spark))
+    gatherers = max(4, shuffle_partitions(spark))
+    partitions = max(4, gatherers // 2)  # a class is named once in each of these
     dealt = texts.select("text").mapInArrow(_entries(partitions), _ENTRIES).repartition(
         partitions, F.expr("CASE WHEN route < 0 THEN -1 - route ELSE route END")).sortWithinPartitions("route")
     shared = dealt.mapInArrow(_shared(gatherers), "gather int, classes binary, counts binary, keys binary")
