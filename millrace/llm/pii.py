@@ -34,10 +34,12 @@ BASE = {
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "[0-9]", "x.digits BETWEEN 13 AND 19 AND {luhn}"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "[+]", "x.digits BETWEEN 9 AND 15"),
 }
+#: The digits of the longest number; a longer run is several numbers next to each other.
+MOST_DIGITS = 19
 #: Candidates beyond the base: handles, numbers with separators, long mixed strings.
 CANDIDATES = {
-    "handle": (r"(?:\G|(?<![^\s@]))[^\s@]{1,64}+@[^\s@]{1,64}+", "[@]", "true"),
-    "number": (r"(?<![0-9A-Za-z])[0-9](?:[\x20().-]?[0-9])++(?![0-9A-Za-z])", "[0-9]", "x.digits BETWEEN 7 AND 19"),
+    "handle": (r"(?:\G|(?<![^\s@]))[^\s@]++@[^\s@]++", "[@]", "true"),
+    "number": (r"(?<![0-9A-Za-z])[0-9](?:[\x20().-]?[0-9])++(?![0-9A-Za-z])", "[0-9]", f"x.digits BETWEEN 7 AND {MOST_DIGITS}"),
     "secret": (r"(?:\G|(?<![A-Za-z0-9_/+=-]))[A-Za-z0-9_/+=-]{16,}+", "[0-9]",
                "x.digits > 2 AND x.match rlike '[A-Za-z]' AND x.digits * 10 > length(x.match)"),
 }
@@ -68,6 +70,8 @@ FEATURES = {
     "mostly_digits": "x.digits * 2 > length(x.match)", "cue_near": "x.kind_cue", "assigned": LABELERS["assigned"],
     "dictionary": "x.match rlike '^[A-Za-z]{4,}[0-9]{1,4}$'",
 }
+#: A number like this that passes the check sum is a card to the base rules too; the bit after the features says so.
+CARD, SURE = "^[0-9]{3,}(?:[ -][0-9]{3,})*$", 1 << len(FEATURES)
 _CANDIDATE = "struct<kind:string,start:int,stop:int,votes:int,features:int>"
 
 
@@ -98,6 +102,30 @@ def _places(kind: str, pattern: str, gate: str) -> Column:
     return F.coalesce(placed, empty)
 
 
+def _split_runs(places: str) -> str:
+    """``places`` with each run of more than MOST_DIGITS digits replaced by its pieces and adjoining pieces of up to so many, off the base spans.
+
+    Base spans are masked first, so that a group of digits need not look for them; a masked one counts as too many digits.
+    """
+    spans = ("array_sort(transform(filter(base, b -> b.start < x.stop AND x.start < b.stop), "
+             "b -> named_struct('a', greatest(b.start, x.start) - x.start, 'z', least(b.stop, x.stop) - x.start)))")
+    masked = (f"aggregate({spans}, named_struct('at', 0, 'out', ''), (acc, b) -> CASE WHEN b.z <= acc.at THEN acc ELSE named_struct('at', b.z, 'out', "
+              "concat(acc.out, substr(x.match, acc.at + 1, greatest(b.a - acc.at, 0)), repeat('@', b.z - greatest(acc.at, b.a)))) END, "
+              "acc -> concat(acc.out, substr(x.match, acc.at + 1)))")
+    groups = f"regexp_extract_all({masked}, '[0-9]+[^0-9@]*|[^0-9]+', 0)"
+    sums = "aggregate({0}, array(0), (sums, g) -> concat(sums, array(element_at(sums, -1) + {1})))"
+    digits = f"CASE WHEN g rlike '^[0-9]' THEN length(regexp_replace(g, '[^0-9]', '')) ELSE {MOST_DIGITS + 1} END"
+    ends = f"filter(sequence(i + 1, least(i + {MOST_DIGITS}, size(at) - 1)), j -> sums[j] - sums[i] BETWEEN 7 AND {MOST_DIGITS})"
+    left = f"right(concat(CASE WHEN at[i] < {LEFT} THEN x.left ELSE '' END, substr(x.match, greatest(1, at[i] - {LEFT - 1}), least(at[i], {LEFT}))), {LEFT})"
+    match = "regexp_replace(array_join(slice(groups, i + 1, j - i), ''), '[^0-9]+$', '')"
+    piece = (f"transform(array({match}), m -> named_struct('kind', x.kind, 'start', x.start + at[i], 'stop', x.start + at[i] + length(m), "
+             "'match', m, 'digits', sums[j] - sums[i], 'left', l))[0]")
+    pieces = f"flatten(transform(sequence(0, size(at) - 2), i -> flatten(transform(array({left}), l -> transform({ends}, j -> {piece})))))"
+    run = (f"flatten(transform(array({groups}), groups -> flatten(transform(array({sums.format('groups', 'length(g)')}), at -> "
+           f"flatten(transform(array({sums.format('groups', digits)}), sums -> {pieces}))))))")
+    return f"flatten(transform({places}, x -> CASE WHEN x.digits <= {MOST_DIGITS} THEN array(x) ELSE {run} END))"
+
+
 def _chosen(places: str, condition: str) -> str:
     luhn = _luhn("regexp_replace(x.match, '[^0-9]', '')")
     return f"filter({places}, x -> {condition.replace('{luhn}', luhn)})"
@@ -112,17 +140,22 @@ def with_base(docs: DataFrame, text: str, column: str = "base") -> DataFrame:
     return out.withColumn(column, F.expr(f"concat({every})")).drop(*(f"__{kind}" for kind in BASE))
 
 
-def with_candidates(docs: DataFrame) -> DataFrame:
-    """Adds ``candidates`` that touch no base span, with their votes and features as bit sets."""
+def with_candidates(docs: DataFrame, split: bool = True) -> DataFrame:
+    """Adds ``candidates`` that touch no base span, with their votes and features as bit sets; ``split``: also the parts of long runs."""
     out = docs
     for kind, (pattern, gate, _) in CANDIDATES.items():
         out = out.withColumn(f"__{kind}", _places(kind, pattern, gate))
+    if split:
+        out = out.withColumn("__number", F.expr(_split_runs("__number")))
     parts = []
     for kind, (_, _, condition) in CANDIDATES.items():
         free = _chosen(f"__{kind}", f"{condition} AND NOT exists(base, b -> b.start < x.stop AND x.start < b.stop)")
         cue = f"lower(x.left) rlike '(?:^|[^\\\\p{{L}}])(?:{CUES[kind].replace(' ', '|')})[^\\\\p{{L}}]*$'"
         votes = " + ".join(f"CASE WHEN {e.replace('x.kind_cue', cue)} THEN {1 << k} ELSE 0 END" for k, e in enumerate(LABELERS.values()))
         shape = " + ".join(f"CASE WHEN {e.replace('x.kind_cue', cue)} THEN {1 << k} ELSE 0 END" for k, e in enumerate(FEATURES.values()))
+        if kind == "number":
+            luhn = _luhn("regexp_replace(x.match, '[^0-9]', '')")
+            shape += f" + CASE WHEN x.digits >= 13 AND x.match rlike '{CARD}' AND {luhn} THEN {SURE} ELSE 0 END"
         parts.append(f"transform({free}, x -> named_struct('kind', x.kind, 'start', x.start, 'stop', x.stop, 'votes', {votes}, 'features', {shape}))")
     every = F.expr(f"CAST(concat({', '.join(parts)}) AS array<{_CANDIDATE}>)")
     return out.withColumn("candidates", every).drop(*(f"__{kind}" for kind in CANDIDATES))
@@ -140,7 +173,7 @@ class Model:
     def keeps(self) -> str:
         """The condition on a candidate x that it is personal data."""
         bits = " + ".join(f"{w!r} * ((x.features >> {k}) & 1)" for k, w in enumerate(self.weights))
-        return f"{self.bias!r} + {bits} > 0"
+        return f"(x.features & {SURE}) <> 0 OR {self.bias!r} + {bits} > 0"
 
 
 #: Before any data: labelers are silent on most other strings, and fire on some personal ones; in pseudo counts.
@@ -173,8 +206,8 @@ def estimate(patterns: list[tuple[int, float]], rounds: int = 100) -> tuple[floa
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
-    """A model from the candidates of all texts; only counts of patterns are collected."""
-    rows = with_candidates(with_base(docs.select(F.col(text).cast("string").alias("text")), "text")).select(F.explode("candidates").alias("c"))
+    """A model from the candidates of all texts; only counts of patterns are collected. The parts of long runs overlap and are left out."""
+    rows = with_candidates(with_base(docs.select(F.col(text).cast("string").alias("text")), "text"), split=False).select(F.explode("candidates").alias("c"))
     counted = [(r["votes"], r["features"], r["n"]) for r in rows.groupBy("c.votes", "c.features").agg(F.count("*").alias("n")).orderBy("votes", "features").collect()]
     by_votes: dict[int, float] = {}
     for votes, _, n in counted:

@@ -218,6 +218,26 @@ def test_added_spans_and_redaction(spark):
     assert texts[0] == 'token = "[SECRET]" in use' and texts[40] == plain[10] and texts[230] == "mail é [EMAIL] [IP]!"
 
 
+def test_numbers_side_by_side_and_long_handles(spark):
+    prepare(spark)
+    model = pii.Model(0.5, (), (1.0, -1.0, 1.0, *(0.0,) * (len(pii.FEATURES) - 3)), -0.5)  # handles, but no numbers of its own accord
+    texts = ["é 7536784127813050 4845168114407329 x", "2353820953013749 4550997810720808", "4111 1111 1111 1111-5500 0000 0000 0004",
+             "1 " * 60, "9" * 40, "L" * 70 + "@" + "h" * 80 + " x"]
+    docs = docs_of(spark, list(enumerate(texts)))
+    found = {r.doc_id: {(x.kind, texts[r.doc_id][x.start:x.stop]) for x in r.spans} for r in pii.personal_data(docs, model).collect()}
+    assert found[0] == {("number", "7536784127813050"), ("number", "4845168114407329")}
+    assert found[1] == {("number", "4550997810720808")}
+    assert found[2] >= {("number", "4111 1111 1111 1111"), ("number", "5500 0000 0000 0004")}
+    assert not found[3] and not found[4] and found[5] == {("handle", texts[5][:-2])}
+    text = "call 212 555 0147 212 555 0199 now"
+    row = pii.with_candidates(pii.with_base(docs_of(spark, [(1, text)]), "text")).first()
+    voted = {text[c.start:c.stop]: c.votes for c in row.candidates}
+    grouped = 1 << list(pii.LABELERS).index("grouped")
+    assert {"212 555 0147", "212 555 0199"} <= set(voted) and voted["212 555 0147"] & grouped and voted["212 555 0199"] & grouped
+    assert all(sum(c.isdigit() for c in piece) <= pii.MOST_DIGITS for piece in voted)
+    assert pii.redacted(docs, model).where("doc_id = 0").first().text == "é [NUMBER] [NUMBER] x"
+
+
 def test_estimate_separates_labelers():
     prior, fires, belief = pii.estimate([(0, 900.0), (0b11, 80.0), (0b1, 20.0)])
     assert belief[0b11] > 0.9 > 0.1 > belief[0] and all(p >= o for o, p in fires) and 0 < prior < 0.5
