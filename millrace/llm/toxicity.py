@@ -195,21 +195,26 @@ def features(found: list[tuple[str, int, bool]], odds: dict[tuple[str, int], flo
 
 
 def _terms(batches):
-    """Terms of toxic texts: in how many texts each is, and the neighbours it has there."""
-    texts, contexts = Counter(), defaultdict(set)
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            words = [normal(w) for w in (text or "").split()]
-            seen = set()
-            for i, word in enumerate(words):
-                around = hash((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else "")) & 0xFFFFFFFF
-                for term in {word, *(word[:n] + "*" for n in STEMS if len(word) >= n)}:
-                    seen.add(term)
-                    if len(contexts[term]) < 64:  # more make no difference to the test of a term
+    """Each term of a batch of toxic texts with the neighbours it has there; its first row counts the texts it is in."""
+    schema = pa.schema([("term", pa.string()), ("around", pa.int64()), ("texts", pa.int64())])
+
+    def rows():
+        for batch in batches:
+            texts, contexts = Counter(), defaultdict(set)
+            for text in batch.column("text").to_pylist():
+                words = [normal(w) for w in (text or "").split()]
+                seen = set()
+                for i, word in enumerate(words):
+                    around = hash((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
+                    for term in {word, *(word[:n] + "*" for n in STEMS if len(word) >= n)}:
+                        seen.add(term)
                         contexts[term].add(around)
-            texts.update(t for t in seen if t not in ("", "*"))
-    schema = pa.schema([("term", pa.string()), ("texts", pa.int64()), ("contexts", pa.list_(pa.int64()))])
-    yield from batches_of(({"term": t, "texts": n, "contexts": sorted(contexts[t])} for t, n in texts.items()), schema)
+                texts.update(t for t in seen if t not in ("", "*"))
+            for term, n in texts.items():
+                for k, around in enumerate(sorted(contexts[term])):
+                    yield {"term": term, "around": around, "texts": 0 if k else n}
+
+    yield from batches_of(rows(), schema)
 
 
 def _chosen_in(terms: frozenset):
@@ -247,7 +252,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != HELD_OUT)
     allowed = allowed.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     share = min(1.0, TRAIN_ROWS / max(1, allowed.count()))
-    chosen = allowed.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = allowed.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(share * (1 << 40)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # bounded by TRAIN_ROWS
 
@@ -256,19 +261,18 @@ def learn_terms(rows: DataFrame, toxic: int, clean: int) -> list[str]:
     """Terms whose texts are toxic far more often than chance allows, in ever new neighbourhoods."""
     if not toxic:
         return []
-    found = rows.where("toxic = 1").select("text").mapInArrow(_terms, "term string, texts long, contexts array<long>")
-    found = found.groupBy("term").agg(F.sum("texts").alias("texts"), F.flatten(F.collect_list("contexts")).alias("contexts"))
-    found = found.select("term", "texts", F.size(F.array_distinct("contexts")).alias("contexts"))
+    found = rows.where("toxic = 1").select("text").mapInArrow(_terms, "term string, around long, texts long")
+    found = found.groupBy("term").agg(F.sum("texts").alias("texts"), F.count_distinct("around").alias("contexts"))
     base = min(max(toxic / (toxic + clean), 1e-6), 1 - 1e-6)
     least = max(2, math.ceil(EVIDENCE / -math.log(base)))
-    candidates = {r["term"]: min(r["texts"], r["contexts"]) for r in found.where(
+    candidates = {r["term"]: (r["texts"], min(r["texts"], r["contexts"])) for r in found.where(
         (F.col("texts") >= least) & (F.col("contexts") >= least)).collect()}  # bounded: of TRAIN_ROWS texts
     others = rows.where("toxic = 0").select("text").mapInArrow(_chosen_in(frozenset(candidates)), "term string, texts long")
     in_clean = {r["term"]: r["n"] for r in others.groupBy("term").agg(F.sum("texts").alias("n")).collect()}
     chance, good = math.log(max(2, len(candidates))) + EVIDENCE, {}
-    for term, t in candidates.items():
+    for term, (texts, t) in candidates.items():  # purity is that of all texts, evidence that of new neighbourhoods
         c = in_clean.get(term, 0)
-        rate = t / (t + c)
+        rate = texts / (texts + c)
         gain = t * math.log(rate / base) + (c * math.log((1 - rate) / (1 - base)) if c else 0.0)
         if rate >= PURITY and gain >= chance:
             good[term] = rate

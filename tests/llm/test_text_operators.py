@@ -100,6 +100,14 @@ def test_toxicity_on_held_out_rows(spark, toxic_corpus):
     assert kept.where("text LIKE 'gribble %'").count() == 0 and kept.where("text IS NULL OR text = ''").count() == 2
 
 
+def test_terms_do_not_depend_on_partitions(spark):
+    prepare(spark)
+    rows = [(f"a{i} grubbly b{i}", 1) for i in range(1400)] + [(f"q{i} grubbly r{i}", 0) for i in range(60)] + [(f"c{i} d{i}", 0) for i in range(1400)]
+    for parts in (1, 8):
+        docs = spark.createDataFrame(rows, "text string, toxic int").repartition(parts)
+        assert any("grubbly".startswith(t.rstrip("*")) for t in toxicity.learn_terms(docs, 1400, 1460))
+
+
 def test_toxicity_without_labels(spark):
     prepare(spark)
     docs = docs_of(spark, [(1, "a b"), (2, None)])
