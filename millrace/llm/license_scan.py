@@ -1,6 +1,7 @@
 """Licence notices in documents, by a trained paragraph classifier whose finds templates confirm.
 
-A segment is a paragraph (a line), or 32 words of a longer one, every 16 words. A softmax regression over
+A segment is a line or a paragraph (up to a blank line), or 32 words of a longer one, every 16 words, so that
+wrapped notices are found. A softmax regression over
 hashed word 1- to 3-grams names its family, "unknown" (licence talk of no known family) or "none". It is
 trained here: on the notices below, mixed into ordinary text and with words dropped, on invented licence names,
 and on segments of at most ``TRAIN_TEXTS`` documents. A temperature fitted on examples set aside calibrates
@@ -63,19 +64,23 @@ class _Text:
 
     def __init__(self, column: pa.Array):
         self.words = Words(column, SIGNS)
-        lines = np.concatenate([[0], np.cumsum(self.words.data == 0x0A)])
+        feeds = np.concatenate([[0], np.cumsum(self.words.data == 0x0A)])
         self.owners = self.words.owners()
-        line = lines[self.words.starts] + self.owners  # a text's end ends its line
-        head = np.concatenate([[True], (np.diff(line) != 0) | (np.diff(self.owners) != 0)]) if len(line) else np.empty(0, dtype=bool)
-        self.paragraph = np.cumsum(head) - 1
-        first = np.flatnonzero(head)
-        size = np.diff(np.append(first, len(line)))
-        inside = np.arange(len(line)) - first[self.paragraph] if len(line) else np.empty(0, dtype=np.int64)
-        length = size[self.paragraph] if len(line) else inside
-        self.starts = np.flatnonzero((inside % STEP == 0) & ((inside == 0) | (inside + STEP < length)))
-        self.ends = np.minimum(self.starts + SEGMENT, self.starts + length[self.starts] - inside[self.starts])
+        before = np.diff(feeds[self.words.starts], prepend=0)  # line feeds between a word and the one before it
+        text = np.diff(self.owners, prepend=-1) != 0
+        self.paragraph = np.cumsum(text | (before > 1)) - 1
+        parts = np.concatenate([self._windows(np.cumsum(text | (before > least)) - 1) for least in (0, 1)], axis=1)
+        self.starts, self.ends = np.unique(parts, axis=1)
         self.hashes = self.words.hashes(_HASH)
 
+    @staticmethod
+    def _windows(part: np.ndarray) -> np.ndarray:
+        """First words and ends of the windows over each part, a run of equal numbers."""
+        first, size = np.unique(part, return_index=True, return_counts=True)[1:]
+        inside, length = np.arange(len(part)) - first[part], size[part]
+        starts = np.flatnonzero((inside % STEP == 0) & ((inside == 0) | (inside + STEP < length)))
+        return np.stack([starts, np.minimum(starts + SEGMENT, starts + length[starts] - inside[starts])])
+
     def segment_words(self, k: int) -> list[str]:
         return [self.words.data[self.words.starts[i]:self.words.ends[i]].tobytes().decode("utf-8", "replace").lower()
                 for i in range(self.starts[k], self.ends[k])]

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -268,6 +269,20 @@ def test_licenses(spark):
     assert license_scan.licenses(docs.limit(0)).count() == 0
 
 
+def test_wrapped_notices(spark):
+    prepare(spark)
+    rng = random.Random(3)
+    plain = lambda n: " ".join(f"word{rng.randrange(500)}" for _ in range(n))
+    model = license_scan.train(*license_scan.examples([plain(100) for _ in range(80)]))
+    notices = [(f, n) for f, ns in license_scan.NOTICES.items() for n in ns]
+    for width in (40, 80):
+        texts = [plain(30) + "\n\n" + "\n".join(textwrap.wrap(n, width)) + "\n\n" + plain(30) for _, n in notices]
+        found = license_scan.found_in(pa.array(texts), model)
+        missed = [(f, t) for (f, t), r in zip(notices, found) if f not in {x["family"] for x in r if x["confirmed"]}]
+        assert not missed
+    assert not any(x["confirmed"] for x in license_scan.found_in(pa.array(["All rights\n\nreserved", "", None]), model)[0])
+
+
 def plain_page(url):
     url = url or ""
     if "://" not in url:
