@@ -4,14 +4,11 @@ A change table is a folder with three parquet data sets:
 
 * ``changes/_commit_version=n`` - the row changes of version n, with ``_change_type``
   (``insert``, ``update_preimage``, ``update_postimage``, ``delete``) and
-  ``_commit_timestamp``. It is only ever appended to, so it is also the change feed
-  and a valid stream source.
+  ``_commit_timestamp``. It is only ever appended to, so it is also the change feed.
 * ``base/_version=n`` - the full content as of version n, written by a fold.
 * ``commits`` - one row per finished commit. A version exists for readers once its
-  row is there, so a job that dies half way leaves nothing visible. (A feed stream that
-  runs between a version's files and its row may see these again after the retry;
-  consumers merge by key, as ours do.) The row also has the version's change counts,
-  taken while its files were written.
+  row is there, so a job that dies half way leaves nothing visible, to feed streams neither.
+  The row also has the version's change counts, taken while its files were written.
 * ``constraints`` - the table's CHECK constraints, one row per addition or removal.
 
 Keys identify rows; NULL is a key like any other. A commit with two inserts or after-images
@@ -34,13 +31,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.joins import checked_broadcast
+from millrace.operators.joins import BROADCAST_BYTES, checked_broadcast, row_bytes
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import merge_changes
-from millrace.session import ANY_AGE, read_if_present
+from millrace.session import read_if_present
+from millrace.sources.versions import version_stream
 
-# keys of recent changes are broadcast up to this number
-BROADCAST_KEYS = 1_000_000
 # versions read by naming their folders, rather than by a filter on all of them
 NAMED_FOLDERS = 1_000
 # fixed value: shortest retention that needs no force
@@ -58,6 +54,7 @@ _COMMITS = (
     .add("rows_inserted", T.LongType())
     .add("rows_updated", T.LongType())
     .add("rows_deleted", T.LongType())
+    .add("key_bytes_so_far", T.LongType())
 )
 _COUNTS = {"rows_inserted": "insert", "rows_updated": "update_postimage", "rows_deleted": "delete"}
 _CONSTRAINTS = "seq BIGINT, name STRING, condition STRING"
@@ -117,9 +114,10 @@ class ChangeTable:
         return read_if_present(self.spark, f"{self.path}/commits", _COMMITS)
 
     def _record(self, version: int, operation: str, writer: str | None, batch: int | None,
-                is_base: bool, at: dt.datetime, changes_so_far: int, counts: dict[str, int] | None = None) -> None:
+                is_base: bool, at: dt.datetime, changes_so_far: int, key_bytes_so_far: int,
+                counts: dict[str, int] | None = None) -> None:
         counted = [(counts or {}).get(name, 0) for name in _COUNTS]
-        values = [version, at, operation, writer, batch, is_base, changes_so_far, *counted]
+        values = [version, at, operation, writer, batch, is_base, changes_so_far, *counted, key_bytes_so_far]
         row = self.spark.range(0, 1, 1, 1).select(
             *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, _COMMITS.fields)]
         )
@@ -128,8 +126,8 @@ class ChangeTable:
     def _state(self, upto: int | None = None, writer: str | None = None, batch: int | None = None):
         """What the commits (by ``upto``) say, as one row.
 
-        Newest version, newest fold and expiry, a writer's earlier commit, and the number
-        of change rows up to the newest version, to the base and to version 1.
+        Newest version, newest fold and expiry, a writer's earlier commit, the number of change
+        rows so far, and how many bytes of keys changed up to the newest version, the base and version 1.
         """
         is_commit = ~F.col("is_base")
         in_range = F.lit(True) if upto is None else F.col("version") <= upto
@@ -144,8 +142,9 @@ class ChangeTable:
             newest(F.col("operation") == "EXPIRE").alias("expired"),
             newest(mine).alias("done"),
             newest(is_commit & in_range, "changes_so_far").alias("changes"),
-            newest(F.col("is_base") & in_range, "changes_so_far").alias("changes_to_base"),
-            newest(is_commit & (F.col("version") == 1), "changes_so_far").alias("changes_to_first"),
+            newest(is_commit & in_range, "key_bytes_so_far").alias("key_bytes"),
+            newest(F.col("is_base") & in_range, "key_bytes_so_far").alias("key_bytes_to_base"),
+            newest(is_commit & (F.col("version") == 1), "key_bytes_so_far").alias("key_bytes_to_first"),
         ).first()
 
     def version(self) -> int:
@@ -167,16 +166,20 @@ class ChangeTable:
         folder = f"{self.path}/changes/_commit_version={version}"
         seen = Observation()
         rows = changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], "_change_type").observe(
-            seen, F.count(F.lit(1)).alias("all"),
+            seen, F.count(F.lit(1)).alias("all"), F.sum(self._key_bytes()).alias("key_bytes"),
             *[F.count_if(F.col("_change_type") == kind).alias(name) for name, kind in _COUNTS.items()])
         rows.withColumn("_commit_timestamp", F.lit(at)).write.mode("overwrite").parquet(folder)
         counts = seen.get
         self._check(self.spark.read.schema(self._feed_schema()).parquet(folder), state.newest, operation)
-        self._record(version, operation, writer, batch, False, at, state.changes + counts["all"], counts)
+        self._record(version, operation, writer, batch, False, at, state.changes + counts["all"],
+                     state.key_bytes + (counts["key_bytes"] or 0), counts)
         if self.fold_every and version - max(state.base, 1) >= self.fold_every:
             self.fold(version)
         return version
 
+    def _key_bytes(self) -> Column:
+        return row_bytes(T.StructType([self.schema[k] for k in self.keys]))
+
     def _check(self, written: DataFrame, newest: int, operation: str) -> None:
         """Refuse a version that breaks a rule; without its commit row it does not exist."""
         stored = written.where("_change_type IN ('insert', 'update_postimage')")
@@ -235,7 +238,7 @@ class ChangeTable:
         return self.commit(doomed.withColumn("_change_type", F.lit("delete")), operation, **commit)
 
     def merge(self, source: DataFrame, on, matched=(), not_matched=(), operation: str = "MERGE", **commit) -> int:
-        changes = merge_changes(self.current(), source, on, matched, not_matched, row_key=self.keys)
+        changes = merge_changes(self.current(), source, on, matched, not_matched)
         return self.commit(changes, operation, **commit)
 
     def replace_with(self, rows: DataFrame, operation: str = "OVERWRITE", **commit) -> int:
@@ -282,17 +285,15 @@ class ChangeTable:
             raise ValueError(f"the change feed up to version {state.expired} has expired")
         return self._changes(first - 1, min(last, state.newest))
 
-    def feed_stream(self, start: int = 1, types: list[str] | None = None) -> DataFrame:
-        """The change feed as a stream, from version ``start``, which must not have expired."""
+    def feed_stream(self, start: int = 1, types: list[str] | None = None, most_versions: int | None = None) -> DataFrame:
+        """The change feed as a stream of committed versions from ``start``, which must not have expired.
+
+        ``most_versions`` bounds how many a micro-batch takes. See ``millrace.sources.versions``.
+        """
         expired = self._state().expired
         if expired and start <= expired:
             raise ValueError(f"the change feed up to version {expired} has expired")
-        feed = (
-            self.spark.readStream.schema(self._feed_schema())
-            .option("maxFileAge", ANY_AGE)
-            .parquet(f"{self.path}/changes")
-            .where(F.col("_commit_version") >= start)
-        )
+        feed = version_stream(self.spark, self.path, self._feed_schema(), start, most_versions)
         return feed if types is None else feed.where(F.col("_change_type").isin(types))
 
     def as_of(self, version: int | None = None, timestamp: dt.datetime | None = None) -> DataFrame:
@@ -312,10 +313,10 @@ class ChangeTable:
         if version < state.expired:
             raise ValueError(f"version {version} has expired")
         if state.base:
-            base, since = state.base, state.changes - state.changes_to_base
+            base, since = state.base, state.key_bytes - state.key_bytes_to_base
             rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/_version={base}")
         else:
-            base, since = min(version, 1), state.changes - state.changes_to_first
+            base, since = min(version, 1), state.key_bytes - state.key_bytes_to_first
             rows = self._changes(0, base)
         rows = rows.select(self.columns)
         if version == base:
@@ -324,7 +325,7 @@ class ChangeTable:
         newest = latest_per_key(changes, self.keys, [F.col("_commit_version").desc()])
         live = newest.where("_change_type <> 'delete'").select(self.columns)
         touched = self.touched(base, version)
-        touched = F.broadcast(touched) if since <= BROADCAST_KEYS else touched
+        touched = F.broadcast(touched) if since <= BROADCAST_BYTES else touched
         return join_keys(rows, touched, self.keys, "left_anti").select(self.columns).unionByName(live)
 
     def current(self) -> DataFrame:
@@ -338,7 +339,7 @@ class ChangeTable:
 
     def net_changes(self, other: DataFrame, keys: DataFrame) -> DataFrame:
         """The changes that turn the current content into ``other``, looking at ``keys`` only."""
-        keys = checked_broadcast(keys, BROADCAST_KEYS)
+        keys = checked_broadcast(keys)
         ours = join_keys(self.current(), keys, self.keys, "left_semi")
         return diff_changes(ours, join_keys(other, keys, self.keys, "left_semi"), self.keys)
 
@@ -356,7 +357,7 @@ class ChangeTable:
         version = state.newest if version is None else version
         if state.base != version:
             self.as_of(version).write.mode("overwrite").parquet(f"{self.path}/base/_version={version}")
-            self._record(version, "FOLD", None, None, True, dt.datetime.now(dt.timezone.utc), state.changes)
+            self._record(version, "FOLD", None, None, True, dt.datetime.now(dt.timezone.utc), state.changes, state.key_bytes)
         return version
 
     def expire(self, older_than_hours: float = RETENTION_HOURS, force: bool = False,
@@ -376,7 +377,7 @@ class ChangeTable:
         if oldest <= expired:
             return max(expired, 1)
         self.fold(oldest)
-        self._record(oldest, "EXPIRE", None, None, True, now, state.changes)
+        self._record(oldest, "EXPIRE", None, None, True, now, state.changes, state.key_bytes)
         stale = self.commits().where(F.col("version").between(expired, oldest) & (F.col("operation") != "EXPIRE"))
         for version, is_base in stale.select("version", "is_base").distinct().collect():
             if not is_base:

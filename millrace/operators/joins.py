@@ -4,28 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 100_000
+#: Largest measured size that is broadcast; a row also counts some bytes of its own.
+BROADCAST_BYTES = 32 << 20
+_ROW_BYTES = 16
 
 
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, by a count that reads no column."""
-    return df.count() <= max_rows
+def row_bytes(schema: T.StructType) -> Column:
+    """About how many bytes a row takes: 8 for a plain value, the length of anything longer."""
+    width = F.lit(_ROW_BYTES + 8 * len(schema))
+    for field in schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0))
+    return width.cast("long")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count shows that it is small, else as it is."""
-    return F.broadcast(df) if small(df, max_rows) else df
+def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` takes at most ``max_bytes``, by one sum over the lengths of its values."""
+    return (df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0) <= max_bytes
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has been measured to be small, else as it is."""
+    return F.broadcast(df) if small(df, max_bytes) else df
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: Column | list[str], how: str = "inner",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join with a lookup table, broadcast only after its size has been checked.
 
     A larger lookup is joined without a hint; Spark then shuffles both sides and
     splits hot partitions at run time.
     """
-    return df.join(checked_broadcast(lookup, max_rows), on, how)
+    return df.join(checked_broadcast(lookup, max_bytes), on, how)
 
 
 def salted_join(many: DataFrame, few: DataFrame, keys: list[str], salt_from: list[str],

@@ -7,8 +7,8 @@
 Scale: the source is normally the small side, and the target is then only scanned.
 A source whose keys are unique, which one count of it tells, takes one outer join. Otherwise
 the firing (target row, source row) pairs are the output of one inner join, which
-Spark may broadcast or split when a key is hot, and a count per target row with a
-partial step before its shuffle finds rows that more than one source row would
+Spark may broadcast or split when a key is hot, and a count per content of a target row
+with a partial step before its shuffle finds rows that more than one source row would
 change. No group is ever collected.
 """
 
@@ -132,43 +132,38 @@ def exploded_images(images: DataFrame, columns: list[str]) -> DataFrame:
         *[F.col(f"_image.row.`{c}`").alias(c) for c in columns], F.col("_image.kind").alias("_change_type"))
 
 
-def _effects(
-    target: DataFrame, source: DataFrame, on: Keys, matched: Sequence[Update | Delete], row_key: list[str]
-) -> DataFrame:
-    """One row per changed target row: ``_before``, ``_after``, ``_gone``."""
-    t, s = target.alias("t"), source.alias("s")
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(f"t.`{a}`") == F.col(f"s.`{b}`") for a, b in _key_pairs(on)]
-    )
-    which = _first_clause(matched)
+def _effects(target: DataFrame, source: DataFrame, on: Keys, matched: Sequence[Update | Delete]) -> DataFrame:
+    """One row per changed content of target rows: ``_before``, ``_after``, ``_gone`` and ``_copies``, the rows with that content.
+
+    Target rows with the same values meet the same source rows, so they are counted first and then
+    stand for one row: more than one firing source row for it is more than one for each of them.
+    """
+    pairs = _key_pairs(on)
+    wanted = source.select(*[F.col(f"`{b}`").alias(a) for a, b in pairs])
+    touched = target.join(wanted, [a for a, _ in pairs], "left_semi").select(*target.columns)
+    t, s = touched.groupBy(*target.columns).agg(F.count(F.lit(1)).alias("_copies")).alias("t"), source.alias("s")
+    same_key = reduce(lambda a, b: a & b, [F.col(f"t.`{a}`") == F.col(f"s.`{b}`") for a, b in pairs])
     after = _assigned(target, matched, lambda f: F.col(f"t.`{f.name}`"))
     deletes = [i for i, c in enumerate(matched) if isinstance(c, Delete)]
     fired = (
         t.join(s, same_key, "inner")
         .where(_any_clause(matched))
-        .withColumn("_which", which)
+        .withColumn("_which", _first_clause(matched))
         .select(
             F.struct(*[F.col(f"t.`{c}`") for c in target.columns]).alias("_before"),
             F.struct(*after).alias("_after"),
             F.col("_which").isin(deletes).alias("_gone") if deletes else F.lit(False).alias("_gone"),
+            "_copies",
         )
     )
-    single = (
-        F.when(F.col("_low") != F.col("_high"), F.raise_error(F.lit("MERGE: several target rows share one row key")))
-        .when(F.col("_firing") > 1, F.raise_error(F.lit("MERGE: several source rows would change one target row")))
-        .otherwise(F.lit(True))
-    )
+    single = F.when(
+        F.col("_firing") > 1, F.raise_error(F.lit("MERGE: several source rows would change one target row"))).otherwise(F.lit(True))
     return (
-        fired.groupBy(*[F.col(f"_before.`{k}`").alias(k) for k in row_key])
-        .agg(
-            F.count(F.lit(1)).alias("_firing"),
-            F.min(F.xxhash64("_before")).alias("_low"), F.max(F.xxhash64("_before")).alias("_high"),
-            F.first("_before").alias("_before"),
-            F.first("_after").alias("_after"),
-            F.first("_gone").alias("_gone"),
-        )
+        fired.groupBy("_before")
+        .agg(F.count(F.lit(1)).alias("_firing"), F.first("_after").alias("_after"), F.first("_gone").alias("_gone"),
+             F.first("_copies").alias("_copies"))
         .where(single)
-        .select(*row_key, "_before", "_after", "_gone")
+        .select("_before", "_after", "_gone", "_copies")
     )
 
 
@@ -192,17 +187,14 @@ def merge_changes(
     on: Keys,
     matched: Sequence[Update | Delete] = (),
     not_matched: Sequence[Insert] = (),
-    row_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """The row changes a MERGE makes: the target's columns plus ``_change_type``.
 
-    ``on`` lists the key columns, or maps target key to source key. ``row_key`` must
-    identify one target row; it defaults to the merge key and is only needed when
-    several target rows share that (a history table).
+    ``on`` lists the key columns, or maps target key to source key; several target rows may share
+    a key, and each of them may be changed by one source row.
     """
     if not matched and not not_matched:
         raise ValueError("a merge needs at least one clause")
-    row_key = list(row_key or [a for a, _ in _key_pairs(on)])
     change = F.when(F.col("_gone"), F.array(_image("delete", "_before"))).otherwise(
         F.array(_image("update_preimage", "_before"), _image("update_postimage", "_after")))
     if has_unique_key(source, on):  # then one join says it all
@@ -211,8 +203,8 @@ def merge_changes(
         return exploded_images(pairs.select(images.alias("_images")), target.columns)
     parts = []
     if matched:
-        effects = _effects(target, source, on, matched, row_key)
-        parts.append(exploded_images(effects.select(change.alias("_images")), target.columns))
+        copies = F.flatten(F.array_repeat(change, F.col("_copies").cast("int")))
+        parts.append(exploded_images(_effects(target, source, on, matched).select(copies.alias("_images")), target.columns))
     if not_matched:
         parts.append(
             _inserts(target, source, on, not_matched).withColumn("_change_type", F.lit("insert"))
@@ -226,17 +218,13 @@ def merge_rows(
     on: Keys,
     matched: Sequence[Update | Delete] = (),
     not_matched: Sequence[Insert] = (),
-    row_key: Sequence[str] | None = None,
     check_source: bool = False,
 ) -> DataFrame:
     """The target's content after the MERGE; other arguments as in ``merge_changes``.
 
-    ``check_source`` counts the source first. If it is small and its key identifies
-    target rows, the changes are just as few and are broadcast, which saves shuffling
-    the target.
+    ``check_source`` measures the source first. If it is small and its keys are unique, it is
+    broadcast, which saves shuffling the target.
     """
-    keys = [a for a, _ in _key_pairs(on)]
-    row_key = list(row_key or keys)
     if has_unique_key(source, on):  # then one join says it all
         if check_source and not not_matched and small(source):
             source = F.broadcast(source)
@@ -247,24 +235,13 @@ def merge_rows(
             for c in target.columns])
     result = target
     if matched:
-        changed = _effects(target, source, on, matched, row_key).select(
-            *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(row_key)], "_after", "_gone"
-        )
-        if check_source and set(row_key) == set(keys) and small(source):
-            changed = F.broadcast(changed)
-        same_row = reduce(
-            lambda a, b: a & b, [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(row_key)]
-        )
-        hit = F.col("_gone").isNotNull()
+        changed = _effects(target, source, on, matched)
+        same_row = reduce(lambda a, b: a & b, [F.col(f"t.`{c}`").eqNullSafe(F.col(f"c._before.`{c}`")) for c in target.columns])
+        hit = F.col("c._gone").isNotNull()
         result = (
-            target.join(changed, same_row, "left")
-            .where(~F.coalesce(F.col("_gone"), F.lit(False)))
-            .select(
-                *[
-                    F.when(hit, F.col(f"_after.`{c}`")).otherwise(F.col(c)).alias(c)
-                    for c in target.columns
-                ]
-            )
+            target.alias("t").join(changed.alias("c"), same_row, "left")
+            .where(~F.coalesce(F.col("c._gone"), F.lit(False)))
+            .select(*[F.when(hit, F.col(f"c._after.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in target.columns])
         )
     if not_matched:
         result = result.unionByName(_inserts(target, source, on, not_matched))

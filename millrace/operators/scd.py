@@ -6,49 +6,63 @@ next to the data columns, and is identified by key plus ``effective_date``.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.merge import (
-    Insert, Update, exploded_images, has_unique_key, merge_changes, merge_rows, paired,
-)
+from millrace.operators.changes import diff_changes, join_keys
+from millrace.operators.latest import latest_per_key
+from millrace.operators.merge import exploded_images, has_unique_key, paired
+
+_OWN = ("current", "effective_date", "end_date")
 
 
-def _staged(dimension: DataFrame, updates: DataFrame, key: str, differs: str) -> DataFrame:
-    """Every update under its key, and a second copy with a NULL key of those that change a row.
+def _spliced(history: DataFrame, changes: DataFrame, key: str, tracked: list[str], updated: str) -> DataFrame:
+    """The histories of keys with ``changes`` put in their places.
 
-    The first copy closes the open row, the second can match nothing and is inserted.
+    Stored versions and changes of a key are ordered by time, those that leave the tracked columns as they were
+    are left out, and each version ends where the next begins: so a late change splits the interval it falls in.
+    A change at the very time of a stored version replaces it; of several at one time the content decides.
+    Two windows over one order, so one shuffle; rows of a key stream through them and spill.
     """
-    by_key = updates.withColumn("merge_key", F.col(key))
-    t, s = dimension.where("current").alias("t"), updates.alias("s")
-    changing = (
-        s.join(t, F.col(f"s.`{key}`") == F.col(f"t.`{key}`"), "inner")
-        .where(F.expr(differs))
-        .select("s.*")
-        .withColumn("merge_key", F.lit(None).cast(updates.schema[key].dataType))
-    )
-    return by_key.unionByName(changing)
-
-
-def _scd2(merge, dimension, updates, key, tracked, updated, null_safe):
-    """The general way, for updates that may repeat a key: a MERGE with every changing update staged twice."""
-    different = "NOT (t.`{0}` <=> s.`{0}`)" if null_safe else "t.`{0}` <> s.`{0}`"
-    differs = reduce(lambda a, b: f"{a} OR {b}", [f"({different.format(c)})" for c in tracked])
-    own = {"current", "effective_date", "end_date"}
-    values = {c: f"s.`{c}`" for c in dimension.columns if c not in own}
-    values |= {"current": "true", "effective_date": f"s.`{updated}`", "end_date": "NULL"}
-    return merge(
-        dimension,
-        _staged(dimension, updates, key, differs),
-        {key: "merge_key"},
-        matched=[
-            Update({"current": "false", "end_date": f"s.`{updated}`"}, when=f"t.current AND ({differs})")
-        ],
-        not_matched=[Insert(values)],
-        row_key=[key, "effective_date"],
-    )
+    types = {f.name: f.dataType for f in history.schema.fields}
+    data = [c for c in history.columns if c not in _OWN]
+    stored = history.select(*data, F.col("effective_date").alias("_at"), F.lit(0).alias("_change"))
+    added = changes.select(*[F.col(c).cast(types[c]).alias(c) for c in data],
+                           F.col(updated).cast(types["effective_date"]).alias("_at"), F.lit(1).alias("_change"))
+    first = [F.col("_change").desc(), *[F.col(c).desc() for c in data if c != key]]
+    points = latest_per_key(stored.unionByName(added), [key, "_at"], first, ties="one")
+    along = Window.partitionBy(key).orderBy("_at")
+    value = F.struct(*[F.col(c) for c in tracked])
+    kept = points.withColumn("_before", F.lag(value).over(along)).where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(value))
+    ended = kept.withColumn("_next", F.lead(F.struct("_at")).over(along))
+    own = {"current": F.col("_next").isNull(), "effective_date": F.col("_at"), "end_date": F.col("_next._at")}
+    return ended.select(*[own.get(c, F.col(c)).cast(types[c]).alias(c) for c in history.columns])
+
+
+def _touched(dimension: DataFrame, changes: DataFrame, key: str, how: str) -> DataFrame:
+    return join_keys(dimension, changes.select(key).distinct(), [key], how).select(dimension.columns)
+
+
+def scd2_splice(dimension: DataFrame, changes: DataFrame, key: str, tracked: list[str], updated: str) -> DataFrame:
+    """The history table after any number of changes per key, in any order and also late ones.
+
+    The result is that of sorting every key's versions and changes by time, whatever came in which call.
+    NULL is a value like any other, in tracked columns, keys and times (NULL comes before all times).
+    Keys without changes are left as they are.
+    """
+    rest = _touched(dimension, changes, key, "left_anti")
+    return rest.unionByName(_spliced(_touched(dimension, changes, key, "left_semi"), changes, key, tracked, updated))
+
+
+def scd2_splice_changes(dimension: DataFrame, changes: DataFrame, key: str, tracked: list[str], updated: str) -> DataFrame:
+    """The row changes of ``scd2_splice``, for a change table; only the histories of changed keys are looked at."""
+    before = _touched(dimension, changes, key, "left_semi")
+    return diff_changes(before, _spliced(before, changes, key, tracked, updated), [key, "effective_date"])
+
+
+def _not_null(updates: DataFrame, tracked: list[str], null_safe: bool) -> DataFrame:
+    """Without updates that set a tracked column to NULL, which are ignored unless ``null_safe``."""
+    return updates if null_safe else updates.dropna(subset=tracked)
 
 
 def _versions(dimension, updates, key, tracked, updated, null_safe, how):
@@ -76,11 +90,11 @@ def scd2_apply(
     """The history table after ``updates``: changed rows closed, new current rows added.
 
     Only a change in a ``tracked`` column counts, compared with ``<>`` (a change to or
-    from NULL is ignored unless ``null_safe``). Two changing updates for one key in one
-    call are an error, as in any MERGE; reduce them with ``latest_per_key`` first.
+    from NULL is ignored unless ``null_safe``). Updates come after the open rows; those that may
+    be late go to ``scd2_splice``. Several updates for one key are chained by it.
     """
     if not has_unique_key(updates, [key]):
-        return _scd2(merge_rows, dimension, updates, key, tracked, updated, null_safe)
+        return scd2_splice(dimension, _not_null(updates, tracked, null_safe), key, tracked, updated)
     pairs, old, closed, opened, changes = _versions(dimension, updates, key, tracked, updated, null_safe, "full_outer")
     rows = F.when(F.expr("t._t IS NULL"), F.array(opened)).when(changes, F.array(closed, opened)).otherwise(F.array(old))
     return pairs.select(F.explode(rows).alias("_row")).select("_row.*")
@@ -92,7 +106,7 @@ def scd2_changes(
 ) -> DataFrame:
     """The row changes of ``scd2_apply``, for a change table."""
     if not has_unique_key(updates, [key]):
-        return _scd2(merge_changes, dimension, updates, key, tracked, updated, null_safe)
+        return scd2_splice_changes(dimension, _not_null(updates, tracked, null_safe), key, tracked, updated)
     pairs, old, closed, opened, changes = _versions(dimension, updates, key, tracked, updated, null_safe, "right")
 
     def image(kind: str, row: Column) -> Column:

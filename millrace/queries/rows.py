@@ -148,12 +148,11 @@ def merge_with_delete(t: Tables) -> DataFrame:
     FROM orders
 """)
 def merge_update_only(t: Tables) -> DataFrame:
-    """Several target rows per merge key, told apart by their own key."""
+    """Several target rows per merge key, each changed by one source row."""
     target = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"))
     source = t.customer.where("c_acctbal < 0").select(F.col("c_custkey"))
     return merge_rows(
         target, source, {"o_custkey": "c_custkey"}, matched=[Update({"status": "'blocked'"})],
-        row_key=["o_orderkey"],
     )
 
 

@@ -164,6 +164,37 @@ def test_feed_stream_resumes(spark, folder):
     assert run() == [(1, "b", 2)]
 
 
+def test_feed_stream_never_sees_refused_or_unfinished_versions(spark, folder, monkeypatch):
+    table = ChangeTable(spark, f"{folder}/t", "id INT, v INT, tags ARRAY<STRUCT<a: STRING, at: TIMESTAMP>>", ["id"])
+    one = "SELECT {0} AS id, {1} AS v, array(struct('x' AS a, TIMESTAMP '2024-01-02 03:04:05.678901' AS at)) AS tags"
+
+    def run(name):
+        seen = []
+        (table.feed_stream(most_versions=1).writeStream
+         .foreachBatch(lambda b, _: seen.extend(b.collect()))
+         .option("checkpointLocation", f"{folder}/{name}").trigger(availableNow=True).start().awaitTermination())
+        return seen
+
+    table.add_constraint("positive", "v > 0")
+    assert run("early") == []
+    table.insert(spark.sql(one.format(1, 1)))
+    with pytest.raises(ValueError, match="positive"):
+        table.insert(spark.sql(one.format(99, -5)))
+    first = run("early")
+    assert [(r.id, r.v, r._commit_version, r._change_type) for r in first] == [(1, 1, 1, "insert")]
+    assert first[0].tags[0].at == dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    assert first == table.feed().collect()
+    monkeypatch.setattr(table, "_record", lambda *a, **k: None)  # dies before its commit row
+    table.insert(spark.sql(one.format(77, 7)))
+    monkeypatch.undo()
+    assert run("early") == [] and [r.id for r in run("late")] == [1]
+    table.insert(spark.sql(one.format(2, 2)))
+    assert [(r.id, r._commit_version) for r in run("early")] == [(2, 2)]
+    assert sorted(r.id for r in run("whole")) in ([1], [1, 2])  # one version a micro-batch
+    table.delete(table.current().where("id = 1"))
+    assert [(r.id, r._change_type) for r in run("early")] == [(1, "delete")]
+
+
 def test_a_null_key_is_a_key(spark, folder):
     table = ChangeTable(spark, f"{folder}/t", SCHEMA, ["id"])
     table.insert(frame(spark, {None: "a", 1: "b"}))

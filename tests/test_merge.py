@@ -112,13 +112,37 @@ def test_assignments_see_the_old_row(spark):
     assert rows(update_rows(df, {"a": "b", "b": "a"}, "true")) == [(2, 1)]
 
 
-def test_several_target_rows_per_key_need_a_row_key(spark):
+def test_one_source_row_may_change_several_target_rows(spark):
     target = spark.createDataFrame([(1, "a", 0), (2, "a", 0), (3, "b", 0)], "id INT, k STRING, v INT")
     source = spark.createDataFrame([("a",)], "key STRING")
-    merged = merge_rows(target, source, {"k": "key"}, [Update({"v": "1"})], row_key=["id"])
+    merged = merge_rows(target, source, {"k": "key"}, [Update({"v": "1"})])
     assert rows(merged) == [(1, "a", 1), (2, "a", 1), (3, "b", 0)]
 
 
+@pytest.mark.parametrize("extra", [[], [(9, "y"), (9, "z")]])
+def test_the_answer_does_not_depend_on_unrelated_source_rows(spark, extra):
+    """Target rows that share a key, equal rows among them, with and without a repeated source key elsewhere."""
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c"), (None, "n"), (None, "n")], "id INT, v STRING")
+    source = spark.createDataFrame([(1, "x"), (None, "m"), *extra], "id INT, v STRING")
+    assert rows(merge_rows(target, source, ["id"], [Update()])) == sorted([
+        (1, "x"), (1, "x"), (1, "x"), (2, "c"), (None, "n"), (None, "n")], key=repr)
+    changes = merge_changes(target, source, ["id"], [Update()])
+    assert rows(changes) == sorted([
+        (1, "a", "update_preimage"), (1, "b", "update_preimage"), (1, "b", "update_preimage"),
+        *[(1, "x", "update_postimage")] * 3], key=repr)
+    assert rows(merge_rows(target, source, ["id"], [Delete()])) == sorted([(2, "c"), (None, "n"), (None, "n")], key=repr)
+
+
+@pytest.mark.parametrize("merge", [merge_rows, merge_changes])
+def test_two_firing_source_rows_are_an_error_for_equal_target_rows_too(spark, merge):
+    target = spark.createDataFrame([(1, "b"), (1, "b")], "id INT, v STRING")
+    source = spark.createDataFrame([(1, "x"), (1, "y")], "id INT, v STRING")
+    with pytest.raises(Exception, match="several source rows"):
+        merge(target, source, ["id"], [Update()]).collect()
+    one_fires = merge(target, source, ["id"], [Update(when="s.v = 'y'")])
+    assert one_fires.where("v = 'y'").count() == 2
+
+
 def brute_merge(target, source):
     """Newest-wins upsert on dicts."""
     state = dict(target)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
 from millrace.functions import is_member, redact, row_policy
+from millrace.operators.joins import small
 from millrace.operators import (
     Check, CheckViolation, add_check, archive_partitions, assert_unique, compact, drop_check, enforce,
     file_stats, item_sets, lookup_join, missed_rows, not_null, partition_report, replace_table,
@@ -179,13 +180,21 @@ def test_lookup_is_broadcast_only_when_small(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df, lookup = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
-        for limit, kind in ((50, "BroadcastHashJoin"), (49, "SortMergeJoin")):
-            joined = lookup_join(df, lookup, ["k"], max_rows=limit)
+        for limit, kind in ((1600, "BroadcastHashJoin"), (1199, "SortMergeJoin")):
+            joined = lookup_join(df, lookup, ["k"], max_bytes=limit)
             assert kind in joined._jdf.queryExecution().toString() and joined.count() == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_long_values_are_not_broadcast(spark):
+    """The bound is in bytes: a few rows with long or nested values are no small lookup."""
+    few = spark.range(20).selectExpr("id AS k", "repeat('x', 100000) AS v")
+    nested = spark.range(20).selectExpr("id AS k", "array_repeat('x', 100000) AS v")
+    assert small(few.select("k"), 1000) and not small(few, 1_000_000) and not small(nested, 1_000_000)
+    assert small(few, 3_000_000)
+
+
 def test_salted_join_equals_the_plain_join(spark):
     many = spark.range(200).selectExpr("id", "IF(id % 3 = 0, 0, id % 7) AS k")
     few = spark.range(5).selectExpr("id AS k", "id * 10 AS v")
