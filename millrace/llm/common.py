@@ -10,6 +10,8 @@ from millrace.session import SETTINGS, new_folder, written
 
 #: Texts in one Arrow batch; small, as one text may be long.
 BATCH_ROWS = 128
+#: Bytes of a batch, after which it is closed.
+BATCH_BYTES = 4 << 20
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +22,7 @@ def prepare(spark: SparkSession) -> None:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def registered(sql: str | None = None):

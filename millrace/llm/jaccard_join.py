@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.arrow import batches_of
+from millrace.llm.arrow import batches_of, giving_back
 from millrace.llm.common import kept, registered, shuffle_partitions, table
 from millrace.llm.graph import components
 from millrace.llm.words import U64, ByteHash, Words, from_planes, mix, planes
@@ -42,6 +42,8 @@ HUB_ROUNDS = 2
 BLOCK = 1024
 #: Digests of rows that are sent to every task, in bytes; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Most shingles that a bucket gets on average, whatever the number of shuffle partitions; each bucket is a partition of its own.
+BUCKET_KEYS = 1 << 23
 #: Shingles gathered before a task sends them.
 CHUNK = 1 << 19
 
@@ -174,20 +176,21 @@ class _Owned:
 
     def __init__(self):
         self.numbers: dict[bytes, int] = {}
-        self.keys, self.owners = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
+        self.keys, self.owners = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int32)]
 
     def add(self, row: dict) -> None:
         names = row["classes"]
         own = [self.numbers.setdefault(names[i:i + _CLASS.itemsize], len(self.numbers)) for i in range(0, len(names), _CLASS.itemsize)]
-        self.owners.append(np.repeat(np.array(own, dtype=np.int64), from_planes(row["counts"]).astype(np.int64)))
+        self.owners.append(np.repeat(np.array(own, dtype=np.int32), from_planes(row["counts"]).astype(np.int64)))
         self.keys.append(np.frombuffer(row["keys"], dtype=U64))
 
     def names(self) -> np.ndarray:
         return np.frombuffer(b"".join(self.numbers), dtype=_CLASS)
 
     def distinct(self, slices: int = 8) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Sorted keys and owners, each pair once, a slice of the keys at a time to bound the memory."""
-        keys, owners = np.concatenate(self.keys), np.concatenate(self.owners)
+        """Sorted keys and owners, each pair once, a slice of the keys at a time to bound the memory. Uses up what was added."""
+        keys, self.keys = np.concatenate(self.keys), []
+        owners, self.owners = np.concatenate(self.owners), []
         part = (keys >> U64(61)).astype(np.int8)
         for k in range(slices):
             mine = np.flatnonzero(part == k)
@@ -198,13 +201,10 @@ class _Owned:
                 yield a[first], b[first]
 
 
-def _shared_in(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _shared_in(held: _Owned, again: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of one bucket, the keys that occur in two classes or more, their owners, and the classes."""
-    held = _Owned()
-    for row in rows:
-        held.add(row)
-    again = np.unique(np.concatenate([np.frombuffer(r["again"], dtype=U64) for r in rows]))
-    keys_out, owners_out = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
+    again = np.unique(np.concatenate(again))
+    keys_out, owners_out = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int32)]
     for keys, owners in held.distinct():
         equal = keys[1:] == keys[:-1]
         shared = np.concatenate([[False], equal]) | np.concatenate([equal, [False]])
@@ -219,14 +219,14 @@ def _shared(gatherers: int):
     """The shared keys of each bucket, sent on by class: one row for each bucket and gathering task."""
 
     def rows(batches):
-        def done(held: list[dict]) -> Iterator[dict]:
-            keys, owners, names = _shared_in(held)
+        def done(held: _Owned, again: list[np.ndarray]) -> Iterator[dict]:
+            keys, owners, names = _shared_in(held, again)
             home = (np.frombuffer(names["digest"].tobytes(), dtype="<u4").reshape(-1, 4)[:, 1] % np.uint32(gatherers)).astype(np.int64)
             for gather, part in enumerate(_parts(home[owners], owners, keys, names, gatherers)):
                 if part:
                     yield {"gather": gather, **part}
 
-        held: list[dict] = []
+        held, again, route = _Owned(), [], None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["route"] < 0:
@@ -239,12 +239,14 @@ def _shared(gatherers: int):
                         if part:
                             yield {"gather": gather, **part}
                     continue
-                if held and held[0]["route"] != row["route"]:
-                    yield from done(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from done(held)
+                if route not in (None, row["route"]):
+                    yield from done(held, again)
+                    held, again = _Owned(), []
+                route = row["route"]
+                held.add(row)
+                again.append(np.frombuffer(row["again"], dtype=U64))
+        if route is not None:
+            yield from done(held, again)
 
     return lambda batches: batches_of(rows(batches), _SHARED_SCHEMA)
 
@@ -474,13 +476,14 @@ def _labelled(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = kept(texts.mapInArrow(_classes([f.name for f in others]), T.StructType(
         [*others, T.StructField("n_shingles", T.LongType()), T.StructField("class", T.BinaryType())])), "classes")
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-    gatherers = max(4, shuffle_partitions(spark))
-    partitions = max(4, gatherers // 2)  # a class is named once in each of these
-    dealt = texts.select("text").mapInArrow(_entries(partitions), _ENTRIES).repartition(
+    least = -(-(rows.agg(F.sum("n_shingles")).first()[0] or 0) // BUCKET_KEYS)
+    gatherers = max(4, shuffle_partitions(spark), least)
+    partitions = max(4, gatherers // 2, least)  # a class is named once in each of these
+    dealt = texts.select("text").mapInArrow(giving_back(_entries(partitions)), _ENTRIES).repartitionById(
         partitions, F.expr("CASE WHEN route < 0 THEN -1 - route ELSE route END")).sortWithinPartitions("route")
-    shared = dealt.mapInArrow(_shared(gatherers), "gather int, classes binary, counts binary, keys binary")
-    nodes = kept(shared.repartition(gatherers, "gather").sortWithinPartitions("gather").mapInArrow(
-        _candidates, "class binary, n long, keys binary"), "candidates")
+    shared = dealt.mapInArrow(giving_back(_shared(gatherers)), "gather int, classes binary, counts binary, keys binary")
+    nodes = kept(shared.repartitionById(gatherers, "gather").sortWithinPartitions("gather").mapInArrow(
+        giving_back(_candidates), "class binary, n long, keys binary"), "candidates")
     found = components(jaccard_links(nodes))
     rooted = classes.join(found, classes["class"] == found["node"], "left").select(
         "class", "first_id", F.coalesce("root", "class").alias("root"))

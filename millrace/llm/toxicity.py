@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import batches_of, rows_where
+from millrace.llm.arrow import batches_of, giving_back, rows_where
 from millrace.llm.common import kept, registered, table
 from millrace.llm.fitting import regression
 
@@ -40,7 +40,9 @@ STEMS, EVIDENCE, PURITY = range(4, 9), 2.0, 0.9
 #: Words to each side of a hit that are looked at.
 WINDOW = 6
 #: Words a process remembers the match of.
-MOST_WORDS = 1 << 18
+MOST_WORDS = 1 << 16
+#: Steps of the automaton a process remembers; then its tables are built anew.
+MOST_MOVES = 1 << 17
 
 # Quotation marks and words of reporting in the corpus's languages.
 QUOTES = "\"“”„«»‹›"
@@ -83,10 +85,14 @@ class Lexicon:
                 node = self.children[node][c]
                 self.reach[node] = max(self.reach[node], edits)
             (self.stem_end if stem else self.word_end)[node] = (term, edits)
+        self._begin()
+
+    def _begin(self) -> None:
+        """Empty tables of states and of steps between them; the trie stays."""
         self.states: list[dict[int, int]] = []
         self.numbers: dict[frozenset, int] = {}
         self.moves: dict[tuple[int, str], int] = {}
-        self.start = self._state({0: 0}) if terms else -1
+        self.start = self._state({0: 0}) if len(self.children) > 1 else -1
 
     def _state(self, edits: dict[int, int]) -> int:
         """The number of a set of (node, fewest edits); a missing letter moves on without reading. -1 if empty."""
@@ -121,6 +127,8 @@ class Lexicon:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The term within its allowed edits of the word (or of its beginning) with the fewest edits."""
+        if len(self.moves) >= MOST_MOVES:
+            self._begin()
         state, found = self.start, []
         for c in word:
             if state < 0:
@@ -261,7 +269,7 @@ def learn_terms(rows: DataFrame, toxic: int, clean: int) -> list[str]:
     """Terms whose texts are toxic far more often than chance allows, in ever new neighbourhoods."""
     if not toxic:
         return []
-    found = rows.where("toxic = 1").select("text").mapInArrow(_terms, "term string, around long, texts long")
+    found = rows.where("toxic = 1").select("text").mapInArrow(giving_back(_terms), "term string, around long, texts long")
     found = found.groupBy("term").agg(F.sum("texts").alias("texts"), F.count_distinct("around").alias("contexts"))
     base = min(max(toxic / (toxic + clean), 1e-6), 1 - 1e-6)
     least = max(2, math.ceil(EVIDENCE / -math.log(base)))
@@ -289,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     terms = learn_terms(rows, toxic, clean)
     if not terms:
         return Model([], bias=math.log((toxic + 0.5) / (clean + 10)))
-    found = rows.mapInArrow(_found_in(terms), "toxic int, hits array<struct<term:string,edits:int,quoted:boolean>>").collect()  # TRAIN_ROWS
+    found = rows.mapInArrow(giving_back(_found_in(terms)), "toxic int, hits array<struct<term:string,edits:int,quoted:boolean>>").collect()  # TRAIN_ROWS
     per_text = [(r["toxic"], [(h["term"], h["edits"], h["quoted"]) for h in r["hits"]]) for r in found]
     counts = {0: Counter(), 1: Counter()}
     for y, f in per_text:
@@ -322,7 +330,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
             ], names=["doc_id", "score", "hits", "quoted_hits"])
 
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, score double, hits long, quoted_hits long")
+    return chosen.mapInArrow(giving_back(run), "doc_id long, score double, hits long, quoted_hits long")
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = PREDICT, text: str = "text") -> DataFrame:

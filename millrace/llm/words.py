@@ -18,7 +18,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Another way to part words: at ASCII signs and white space.
 SIGNS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 #: Bytes hashed at once; only a single longer word makes a block larger.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
