@@ -9,8 +9,8 @@
 
 A window is told apart by 64 key bits within its bucket: with b buckets, n windows give about
 n * n / (b * 2**65) chance pairs, 4e-6 for 124 million windows in 200 buckets and 4 among the
-28 trillion windows of 100 TB. Buckets grow with the number of shuffle partitions, so the keys
-a task sorts stay bounded.
+28 trillion windows of 100 TB. Buckets grow with the text, and with the number of shuffle partitions,
+and every partition has its own, so the keys a task sorts stay bounded.
 """
 
 from __future__ import annotations
@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import batches_of
+from millrace.llm.arrow import batches_of, giving_back
 from millrace.llm.common import registered, shuffle_partitions, table
 from millrace.llm.words import U64, ByteHash, Words, covered, from_planes, planes
 
 WINDOW = 35
 #: Windows gathered before a task sends their keys.
 CHUNK = 1 << 21
+#: Most text whose keys one shuffle partition gets, whatever their number is set to.
+PARTITION_BYTES = 48 << 20
 #: Buckets in each shuffle partition, worked off one after the other.
 SUB_BUCKETS = 4
 
@@ -176,11 +178,12 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     ``texts`` has ``text`` and ``text_key``, a 16-byte digest of it; each row is one occurrence.
     """
     spark = texts.sparkSession
-    partitions = max(4, shuffle_partitions(spark) // 3)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    partitions = max(4, shuffle_partitions(spark) // 3, -(-size // PARTITION_BYTES))
     buckets = partitions * SUB_BUCKETS
-    entries = texts.select("text", "text_key").mapInArrow(_window_entries(buckets, window), _ENTRIES)
-    dealt = entries.repartition(partitions, F.expr(f"route div {SUB_BUCKETS}")).sortWithinPartitions("route", "answer")
-    return dealt.mapInArrow(_answers, "text_key binary, places binary")
+    entries = texts.select("text", "text_key").mapInArrow(giving_back(_window_entries(buckets, window)), _ENTRIES)
+    dealt = entries.repartitionById(partitions, F.expr(f"CAST(route div {SUB_BUCKETS} AS INT)")).sortWithinPartitions("route", "answer")
+    return dealt.mapInArrow(giving_back(_answers), "text_key binary, places binary")
 
 
 def _cut(window: int):
