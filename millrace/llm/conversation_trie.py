@@ -338,7 +338,8 @@ def prefix_trie(conversations: DataFrame, heavy: int = HEAVY, band: int = BAND,
     prefixes = paths(conversations)
 
     # shards: the nearest top at or above each prefix, looked for within a band of its conversation
-    crowded = prefixes.groupBy(node).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy).select(*node, F.lit(True).alias("crowded"))
+    crowded = kept(prefixes.groupBy(node).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy).select(
+        *node, F.lit(True).alias("crowded")), "crowded")  # written, so that its size decides on the join
     along = Window.partitionBy("conv_id", F.expr(f"depth div {band}")).orderBy("depth")
     is_top = F.expr(f"depth <= 1 OR depth % {band} = 0") | F.coalesce(F.lag("crowded").over(along), F.lit(False))
     marked = prefixes.join(crowded, node, "left").withColumn("is_top", is_top)

@@ -238,7 +238,8 @@ class LineIndex:
         A line goes if at least ``least`` documents of the index hold it and one with a larger id does. Null and empty
         texts are one empty line; short lines stay. Other columns are ignored.
         """
-        gone = self.entries().join(self.repeated(least), "key").where("doc_id < largest")
+        repeated = written(self.repeated(least), new_folder(self.spark, "repeated-lines"))  # its size decides on the join
+        gone = self.entries().join(repeated, "key").where("doc_id < largest")
         gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("key").alias("gone"))  # at most the lines of one document
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
         joined = rows.join(gone, _document("doc_id") == F.col("_id"), "left").select("doc_id", "text", "gone")
