@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.scd import scd2_splice
 from millrace.operators import (
     Insert, Update, apply_cdc, current_rows, delete_matching, delete_rows, insert_new, latest_per_key,
     merge_rows, newest_wins, scd2_apply, update_rows,
@@ -194,6 +195,41 @@ def scd2_books(t: Tables) -> DataFrame:
     )
 
 
+CHAINED_SQL = """
+    WITH daily AS (
+        SELECT l_partkey, l_shipdate AS moment, max(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2
+    ), points AS (
+        SELECT p_partkey AS k, TIMESTAMP '1990-01-01' AS moment, p_retailprice AS price FROM part
+        UNION ALL SELECT l_partkey, moment, price FROM daily WHERE day(moment) % 2 = 0
+    ), first AS (
+        SELECT k, moment, price FROM (SELECT *, lag(price) OVER w AS old, row_number() OVER w AS i FROM points WINDOW w AS (PARTITION BY k ORDER BY moment))
+        WHERE i = 1 OR price <> old
+    ), more AS (
+        SELECT * FROM first UNION ALL SELECT l_partkey, moment, price FROM daily WHERE day(moment) % 2 = 1
+    ), kept AS (
+        SELECT k, moment, price FROM (SELECT *, lag(price) OVER w AS old, row_number() OVER w AS i FROM more WINDOW w AS (PARTITION BY k ORDER BY moment))
+        WHERE i = 1 OR price <> old
+    )
+    SELECT CAST(k AS VARCHAR) AS book_id, price, lead(moment) OVER w IS NULL AS current, moment AS effective_date, lead(moment) OVER w AS end_date
+    FROM kept WINDOW w AS (PARTITION BY k ORDER BY moment)
+"""
+
+
+@query("D12 K4", CHAINED_SQL)
+def scd2_chained(t: Tables) -> DataFrame:
+    """Every day's highest price of a part is a change; those of odd days come in a second call, between the others."""
+    start = t.part.select(
+        F.col("p_partkey").cast("string").alias("book_id"), F.col("p_retailprice").alias("price"), F.lit(True).alias("current"),
+        F.lit("1990-01-01").cast("timestamp").alias("effective_date"), F.lit(None).cast("timestamp").alias("end_date"))
+    daily = t.lineitem.groupBy(F.col("l_partkey").cast("string").alias("book_id"), F.col("l_shipdate").cast("timestamp").alias("updated")).agg(
+        F.max("l_extendedprice").alias("price"))
+    history = start
+    for late in (False, True):
+        changes = daily.where((F.dayofmonth("updated") % 2 == 1) == F.lit(late))
+        history = scd2_splice(history, changes, "book_id", ["price"], "updated")
+    return history.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("effective_date", "end_date")})
+
+
 @query("D14", f"{SCD2_SQL} SELECT book_id, title, author, price FROM history WHERE current")
 def current_books(t: Tables) -> DataFrame:
     return current_rows(_book_history(t))

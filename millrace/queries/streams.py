@@ -14,15 +14,18 @@ from pyspark.sql import functions as F
 from millrace.operators import ChangeTable, Insert, Update, latest_per_key, missed_rows, newest_wins
 from millrace.plans.feeds import EVENT_CUT, ORDER_CUT, message_batches
 from millrace.plans.inputs import Tables, countries, customer_profiles, order_documents
-from millrace.plans.medallion import Medallion, daily_by_country
+from millrace.plans.medallion import Medallion
 from millrace.plans.multihop import MultiHop
 from millrace.queries.nested import DOCS, PROFILES
 from millrace.queries.registry import query
-from millrace.session import new_folder
+from millrace.session import new_folder, written
 from millrace.sources.files import file_stream
 from millrace.streaming import (
-    append_to, complete_to, dedup_stream, dedup_upsert, each_batch, stream_static_join, stream_stream_join,
+    append_to, complete_to, dedup_stream, dedup_upsert, dedup_within, each_batch, stream_static_join, stream_stream_join,
 )
+from millrace.streaming.keyed import KeyedTable
+from millrace.streaming.pending import PendingJoin
+from millrace.streaming.quality import WatchedStream
 
 
 def _ntz(df: DataFrame, *columns: str) -> DataFrame:
@@ -60,6 +63,47 @@ def dedup_upsert_lines(t: Tables) -> DataFrame:
     return result
 
 
+@query("R7 D7", "SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM lineitem")
+def dedup_keyed_lines(t: Tables) -> DataFrame:
+    """Two streams that share lines go into a table with sketches of its folders' keys; each key stays once."""
+    table = KeyedTable(t.spark, new_folder(t.spark, "keyed"), "l_orderkey BIGINT, l_linenumber INT, l_shipdate TIMESTAMP_NTZ",
+                       ["l_orderkey", "l_linenumber", "l_shipdate"])
+    lines = t.stream("lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp_ntz").alias("l_shipdate"))
+    table.load(lines.where("year(l_shipdate) <= 1995"), f"{table.path}/checkpoint-1")
+    return table.load(lines, f"{table.path}/checkpoint-2", first=1_000_000)
+
+
+@query("R6 R12", "SELECT event_id, event_type, user_id FROM events")
+def dedup_within_watermark(t: Tables) -> DataFrame:
+    """Every event comes twice, the copy seven seconds later; six deliveries in the order of time."""
+    folder = new_folder(t.spark, "within")
+    events = t.events.select("event_id", "event_type", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    copies = events.withColumn("ts", F.expr("ts + INTERVAL 7 SECONDS"))
+    low, high = (m.timestamp() for m in events.agg(F.min("ts"), F.max("ts")).first())
+    part = F.least(F.lit(5), F.floor((F.unix_micros("ts") / 1e6 - low) / (high - low + 1) * 6)).cast("int")
+    both = written(events.unionByName(copies).withColumn("part", part), f"{folder}/all", ["part"])
+    for k in range(6):
+        both.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{folder}/events")
+        arriving = file_stream(t.spark, f"{folder}/events", "parquet", events.schema)
+        unique = dedup_within(arriving, ["event_id"], "ts", "1 minute").drop("ts")
+        result = append_to(unique, f"{folder}/table", f"{folder}/checkpoint")
+    return result
+
+
+@query("Q3 Q8 Q6 R12", """
+    SELECT 'full price' AS rule, count(*) AS all_rows, count(*) FILTER (l_discount > 0.05) AS broken FROM lineitem
+    UNION ALL SELECT 'many', count(*), count(*) FILTER (l_quantity <= 10) FROM lineitem
+""")
+def watched_lines(t: Tables) -> DataFrame:
+    """Figures of the rules that a running stream keeps, counted while its rows are written."""
+    folder = new_folder(t.spark, "watched")
+    watched = WatchedStream(
+        t.spark, f"{folder}/table", "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_discount DOUBLE",
+        {"full price": "l_discount <= 0.05", "many": "l_quantity > 10"}, {"full price": 0.99})
+    watched.run(t.stream("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount"), f"{folder}/checkpoint")
+    return watched.figures().groupBy("rule").agg(F.sum("all_rows").alias("all_rows"), F.sum("broken").alias("broken"))
+
+
 @query("R8 A4", """
     SELECT * FROM (
         SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start,
@@ -195,6 +239,20 @@ def repaired_sales(t: Tables) -> DataFrame:
     return joined.unionByName(late).drop("l_partkey")
 
 
+@query("J4 J3 K6", f"SELECT * FROM ({SALES_SQL})")
+def repaired_incrementally(t: Tables) -> DataFrame:
+    """Lines without a part wait; the parts that come later are looked for among the waiting lines only."""
+    join = PendingJoin(
+        t.spark, new_folder(t.spark, "pending"), "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, p_partkey BIGINT",
+        "p_partkey BIGINT, p_name STRING, p_brand STRING", ["p_partkey"])
+    parts = t.part.select("p_partkey", "p_name", "p_brand", "p_size")
+    early = parts.where("p_size <= 25").drop("p_size")
+    join.run(_line_stream(t).withColumnRenamed("l_partkey", "p_partkey"), lambda: early, f"{join.path}/checkpoint")
+    join.repair(parts.where("p_size > 25 AND p_size <= 40").drop("p_size"))
+    join.repair(parts.where("p_size > 40 OR p_size IS NULL").drop("p_size"))
+    return join.result()
+
+
 @query("J5", """
     SELECT o_orderkey, o_custkey, o_totalprice, c_name, c_nationkey
     FROM orders JOIN customer ON o_custkey = c_custkey
@@ -259,8 +317,10 @@ class _Run:
             flow.run_batch(messages)
         self.customers_version = flow.customers.version()
         self.orders_version = flow.customers_orders.version()
+        self.gold_version = flow.gold.table.version()
         flow.process_delete_requests()
         flow.process_deletes()
+        flow.process_countries_daily()
         self.flow = flow
 
     def customers(self) -> DataFrame:
@@ -384,14 +444,26 @@ def customers_orders(t: Tables) -> DataFrame:
     return _customer_order_rows(_run(t).customers_orders())
 
 
-@query("A3 V1 K7", f"""
-    {CUSTOMERS_ORDERS_SQL}
+DAILY_SQL = """
     SELECT country, date_trunc('day', order_timestamp) AS order_date, count(order_id) AS orders_count,
            CAST(sum(quantity) AS BIGINT) AS books_count
-    FROM joined GROUP BY 1, 2
-""")
+"""
+
+
+@query("A3 K7", f"{CUSTOMERS_ORDERS_SQL} {DAILY_SQL} FROM joined GROUP BY 1, 2")
 def countries_daily(t: Tables) -> DataFrame:
-    return _ntz(daily_by_country(_run(t).customers_orders()), "order_date")
+    """The gold table after both batches of messages, made of their changes."""
+    run = _run(t)
+    return _ntz(run.flow.gold.current(run.gold_version), "order_date")
+
+
+@query("A3 V1 V4 K7 K9", f"""
+    {CUSTOMERS_ORDERS_SQL} {DAILY_SQL} FROM joined WHERE customer_id NOT IN (SELECT customer_id FROM asked) GROUP BY 1, 2
+""")
+def gold_incremental(t: Tables) -> DataFrame:
+    """The stored view of the gold table after inserts, updates and deletes of orders; only their changes were read."""
+    run = _run(t)
+    return _ntz(t.spark.table(run.flow.gold_view), "order_date")
 
 
 BOOKS_SALES_SQL = f"""

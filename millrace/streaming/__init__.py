@@ -1,12 +1,12 @@
 """Structured Streaming: sinks, deduplication and joins."""
 
-from millrace.streaming.dedup import dedup_stream, dedup_upsert
+from millrace.streaming.dedup import dedup_stream, dedup_upsert, dedup_within
 from millrace.streaming.joins import stream_static_join, stream_stream_join
 from millrace.streaming.sinks import (
     append_to, complete_to, complete_writer, each_batch, run_available_now, run_every, stop_all,
 )
 
 __all__ = [
-    "append_to", "complete_to", "complete_writer", "dedup_stream", "dedup_upsert", "each_batch",
+    "append_to", "complete_to", "complete_writer", "dedup_stream", "dedup_upsert", "dedup_within", "each_batch",
     "run_available_now", "run_every", "stop_all", "stream_static_join", "stream_stream_join",
 ]

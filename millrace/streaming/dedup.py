@@ -27,6 +27,15 @@ def dedup_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str
     return marked.dropDuplicates(keys)
 
 
+def dedup_within(stream: DataFrame, keys: list[str], event_time: str, delay: str = "30 seconds") -> DataFrame:
+    """One row per key among rows whose event times lie within ``delay`` of the first one.
+
+    The event time need not be a key, so copies may carry other times than their firsts. State is bounded by the
+    watermark; the result does not depend on how rows are cut into micro-batches, as long as none comes later than ``delay``.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+
+
 def _range_filter(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
     """Target rows within the batch's range of ``column``, as a filter the scan can use."""
     low, high = batch.agg(F.min(column), F.max(column)).first()

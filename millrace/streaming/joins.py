@@ -23,7 +23,7 @@ def stream_static_join(stream: DataFrame, static: Callable[[], DataFrame], on: C
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.join(static(), on, how).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    each_batch(stream, write, checkpoint)
+    each_batch(stream, write, checkpoint, reads=1)
     schema = stream.join(static(), on, how).schema
     return read_if_present(stream.sparkSession, path, schema).select(schema.fieldNames())
 

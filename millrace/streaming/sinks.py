@@ -23,17 +23,15 @@ def run_every(writer: DataStreamWriter, checkpoint: str, interval: str) -> Strea
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
-              files: int = 4) -> DataFrame:
+def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> DataFrame:
     """Append the stream to a parquet folder; returns that folder as a batch frame.
 
-    A partitioned write first brings each partition's rows to ``files`` tasks, chosen by the rows'
-    content, so that a micro-batch adds at most that many files to a partition.
+    A partitioned write is rebalanced: each micro-batch is shuffled by the partition columns, its bytes are counted
+    for every value, and adaptive planning, which Spark also does for streams without state, gives a large value as
+    many tasks as its bytes need and joins the small ones. A small value that shares a shuffle partition with a large
+    one is dealt out along with it.
     """
-    dealt = stream
-    if partition_by:
-        salt = F.pmod(F.xxhash64(*stream.columns), F.lit(files))
-        dealt = stream.repartition(*partition_by, salt)
+    dealt = stream.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else stream
     writer = dealt.writeStream.outputMode("append").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -42,9 +40,12 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[
 
 
 def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-               mode: str = "append") -> StreamingQuery:
+               mode: str = "append", reads: int = 2) -> StreamingQuery:
     """Run ``write(micro_batch, batch_id)`` for every micro-batch that has rows.
 
+    A ``write`` that reads its micro-batch once says so by ``reads=1``: nothing is kept or counted for it then, and
+    it gets empty micro-batches too.
+
     The micro-batch is kept for the duration of the call, since upserts read it more
     than once; a lost copy is recomputed from the stream's logged offsets. Counting it
     first moves the stream's state on even if ``write`` skips a replayed batch, and
@@ -56,9 +57,10 @@ def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], check
     def keep_and_write(batch: DataFrame, batch_id: int) -> None:
         conf = batch.sparkSession.conf
         adaptive = conf.get("spark.sql.adaptive.enabled")
-        batch.persist()
+        if reads > 1:
+            batch.persist()
         try:
-            if batch.count():
+            if reads == 1 or batch.count():
                 conf.set("spark.sql.adaptive.enabled", "true")
                 write(batch, batch_id)
         finally:
