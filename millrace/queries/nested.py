@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import domain_part, json_path
 from millrace.operators import item_sets, lookup_join
 from millrace.plans.inputs import Tables, cents, customer_profiles, order_documents
+from millrace.functions.text import whole_schema
 from millrace.queries.registry import query
 
 # Orders with their lines: copies of a line number are added up under the lowest part.
@@ -299,3 +300,12 @@ def revenue_by_flag(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.sum(cents("l_extendedprice")).alias("cents"), F.count(F.lit(1)).alias("n_lines")
     )
+
+
+@query("X2 S14 F2", """
+    SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events
+""")
+def props_by_whole_schema(t: Tables) -> DataFrame:
+    """JSON text read with a schema merged from every row, not from a sample."""
+    schema = whole_schema(t.events, "props")
+    return t.events.select("event_id", F.from_json("props", schema).alias("p")).select("event_id", F.col("p.k").cast("string").alias("k"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from millrace.functions.text import whole_schema
 from millrace.operators import ChangeTable
 from millrace.operators.aggregates import DeltaAggregate
 from millrace.sources.files import file_stream
@@ -190,3 +191,14 @@ def test_watched_stream_stops_above_a_rate(spark, folder):
     assert accepted.count() == 9
     assert rows(watched(0.9).figures().where("rule = 'positive'")) == [(0, "positive", 6, 1), (1, "positive", 3, 2)]
     assert issubclass(RateExceeded, RuntimeError)
+
+
+def test_schema_finds_a_field_of_one_row_in_many(spark):
+    rare = '{"a": 1, "deep": {"only": [{"here": true}]}, "n": null}'
+    df = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") == 123_456, rare).when(F.col("id") == 5, "no json").when(
+        F.col("id") == 6, "[1]").when(F.col("id") == 7, '{"b": "text"}').otherwise('{"a": 2, "b": 3}').alias("j"))
+    schema = whole_schema(df, "j")
+    assert schema.simpleString() == "struct<a:bigint,b:string,deep:struct<only:array<struct<here:boolean>>>,n:string>"
+    read = df.select(F.from_json("j", schema).alias("r")).where("r.deep IS NOT NULL").select("r.a", "r.deep.only.here").collect()
+    assert [tuple(r) for r in read] == [(1, [True])]
+    assert len(whole_schema(df.limit(0), "j")) == 0
