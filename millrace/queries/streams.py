@@ -21,7 +21,8 @@ from millrace.queries.registry import query
 from millrace.session import new_folder, written
 from millrace.sources.files import file_stream
 from millrace.streaming import (
-    append_to, complete_to, dedup_stream, dedup_upsert, dedup_within, each_batch, stream_static_join, stream_stream_join,
+    LateSplit, append_to, complete_to, dedup_stream, dedup_upsert, dedup_within, each_batch, newest_version_join,
+    stream_static_join, stream_stream_join,
 )
 from millrace.streaming.keyed import KeyedTable
 from millrace.streaming.pending import PendingJoin
@@ -153,6 +154,33 @@ def late_events(t: Tables) -> DataFrame:
     return _ntz(result, "window_start")
 
 
+@query("R9 R6 R12", f"""
+    WITH came AS (
+        SELECT *, ts < TIMESTAMP '{EVENT_CUT}' OR event_type = 'error' AS second FROM events
+    ), mark AS (SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM came WHERE NOT second)
+    SELECT event_type, CAST(ts AS DATE) AS day, second AND coalesce(ts < mark, FALSE) AS late, count(event_id) AS events
+    FROM came, mark GROUP BY 1, 2, 3
+""")
+def late_events_kept(t: Tables) -> DataFrame:
+    """Old events and errors arrive last. Those behind the watermark are kept aside, so all events are accounted for."""
+    folder = new_folder(t.spark, "late-kept")
+    second = (F.col("ts") < F.lit(EVENT_CUT).cast("timestamp")) | (F.col("event_type") == "error")
+    events = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    split = LateSplit(t.spark, f"{folder}/split", "event_id BIGINT, event_type STRING, ts TIMESTAMP", "ts", "10 minutes")
+    for part in (~second, second):
+        events.where(part).write.mode("append").parquet(f"{folder}/events")
+        split.run(file_stream(t.spark, f"{folder}/events", "parquet", events.schema), f"{folder}/checkpoint-1")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/unique/batch={batch_id}")
+
+        unique = split.on_time_stream().dropDuplicatesWithinWatermark(["event_id"])
+        split.check(each_batch(unique, write, f"{folder}/checkpoint-2"))
+    in_time = t.spark.read.parquet(f"{folder}/unique").select(events.columns).withColumn("late", F.lit(False))
+    both = in_time.unionByName(split.late().withColumn("late", F.lit(True)))
+    return both.groupBy("event_type", F.to_date("ts").alias("day"), "late").agg(F.count("event_id").alias("events"))
+
+
 @query("R4 R2 R10 W10 K11 S13", """
     SELECT p_brand AS author, count(p_partkey) AS total_books FROM part GROUP BY p_brand
 """)
@@ -266,6 +294,51 @@ def stream_stream_orders(t: Tables) -> DataFrame:
     return append_to(joined, f"{folder}/table", f"{folder}/checkpoint")
 
 
+@query("J5 K5 R12", f"""
+    WITH versions AS (
+        SELECT user_id, event_id, event_type, ts, ts >= TIMESTAMP '{EVENT_CUT}' AS second FROM events
+    ), first_newest AS (
+        SELECT * FROM versions WHERE NOT second
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    ), newest AS (
+        SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    ), waited AS (
+        SELECT *, o_orderdate >= TIMESTAMP '{ORDER_CUT}' OR ceil((epoch_ms(o_orderdate) + 34560000000) / 2160000000) * 2160000000 >
+               (SELECT max(epoch_ms(o_orderdate)) - 3600000 FROM orders WHERE o_orderdate < TIMESTAMP '{ORDER_CUT}') AS waits
+        FROM orders
+    )
+    SELECT o_orderkey, o_custkey, o_orderdate, event_id, event_type, ts
+    FROM waited JOIN newest ON o_custkey = user_id WHERE waits
+    UNION ALL
+    SELECT o_orderkey, o_custkey, o_orderdate, event_id, event_type, ts
+    FROM waited JOIN first_newest ON o_custkey = user_id WHERE NOT waits
+""")
+def newest_version_orders(t: Tables) -> DataFrame:
+    """Orders with the newest event of their customer, both in two deliveries; an order waits 400 days for newer ones.
+
+    Orders that have waited longer by the end of the first delivery keep what they met in it, and the state only holds the rest.
+    """
+    folder = new_folder(t.spark, "newest-version")
+    orders = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+    events = t.events.select(F.col("user_id").alias("o_custkey"), "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    late_order, late_event = F.col("o_orderdate") >= F.lit(ORDER_CUT).cast("timestamp"), F.col("ts") >= F.lit(EVENT_CUT).cast("timestamp")
+    for order_part, event_part in ((~late_order, ~late_event), (late_order, late_event)):
+        orders.where(order_part).write.mode("append").parquet(f"{folder}/orders")
+        events.where(event_part).write.mode("append").parquet(f"{folder}/events")
+        joined = newest_version_join(
+            file_stream(t.spark, f"{folder}/orders", "parquet", orders.schema),
+            file_stream(t.spark, f"{folder}/events", "parquet", events.schema),
+            ["o_custkey"], "o_orderdate", "ts", keep="400 days", delay="1 hour", salt_from=["o_orderkey"], salts=4)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/met/batch={batch_id}")
+
+        each_batch(joined, write, f"{folder}/checkpoint", reads=1)
+    met = t.spark.read.schema(joined.schema).parquet(f"{folder}/met").select(joined.columns)
+    newest = latest_per_key(met, ["o_orderkey"], [F.col("ts").desc(), F.col("event_id").desc()], ties="one")
+    return _ntz(newest, "o_orderdate", "ts")
+
+
 @query("N2 W12 D8 D15", """
     SELECT user_id, event_id, ts, event_type FROM (
         SELECT *, rank() OVER (PARTITION BY user_id ORDER BY ts DESC) AS place FROM events
@@ -311,7 +384,8 @@ class _Run:
 
     def __init__(self, t: Tables):
         flow = Medallion(
-            t.spark, new_folder(t.spark, "flow"), countries(t), f"millrace_current_books_{uuid.uuid4().hex[:8]}"
+            t.spark, new_folder(t.spark, "flow"), countries(t), f"millrace_current_books_{uuid.uuid4().hex[:8]}",
+            join_bound="1500 days",
         )
         for messages in message_batches(t):
             flow.run_batch(messages)
