@@ -1,10 +1,12 @@
 """Quality rules: fixed base rules, then limits learned from quantile sketches per language and source.
 
 The measures of a text are counted exactly. For texts that pass the base rules, mergeable quantile
-sketches (``percentile_approx``, added up before the shuffle) give the median and upper quartile of each
+sketches (``percentile_approx``, added up before the shuffle) give the median and the upper decile of each
 measure for every (language, source), every language and everything. A limit lies ``SPREADS`` times the
-distance from median to quartile above the median, but at least at the measure's floor, under which
-nothing is odd. Groups of fewer than ``LEAST`` texts take the language's limits, or the general ones.
+distance from median to decile above the median: a group's junk, if it is less than a tenth, moves neither, and what is
+usual in a group is within its limit, whatever it is elsewhere. Where a tenth doesn't stray from the median, a small
+spread of the measure's own stands in. Groups of fewer than ``LEAST`` texts take the language's limits, or the general ones.
+Repeated words are judged by the base rules, which leave no room for a limit above them.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from millrace.llm.words import ByteHash, Words, covered
 REPEAT_WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
 #: Spreads above the median, the smallest group with limits of its own, the sketches' accuracy.
-SPREADS, LEAST, ACCURACY = 6, 30, 10_000
-#: Measures and their floors: shares of symbols a word, of repeated lines, of repeated words, word length.
-FLOORS = {"symbol_share": 0.1, "dup_line_share": 0.5, "repeat_share": 0.3, "word_length": 12.0}
+SPREADS, LEAST, ACCURACY = 6, 100, 10_000
+#: Measures and their least spreads: shares of symbols a word, of repeated lines, word length.
+SMALL = {"symbol_share": 0.02, "dup_line_share": 0.09, "word_length": 0.1}
 
 _HASH = ByteHash(41)
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -88,7 +90,6 @@ def _shares(rows: DataFrame) -> DataFrame:
     return rows.withColumns({
         "symbol_share": F.col("n_symbols") / F.greatest("n_words", F.lit(1)),
         "dup_line_share": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
-        "repeat_share": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
         "word_length": F.col("word_chars") / F.greatest("n_words", F.lit(1)),
     })
 
@@ -96,46 +97,47 @@ def _shares(rows: DataFrame) -> DataFrame:
 def limits(rows: DataFrame) -> DataFrame:
     """Limits by language and source; both null in the general row, the source null in a language's."""
     passed = _shares(rows).where("NOT base_failed")
-    keyed = passed.select(*FLOORS, F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
+    keyed = passed.select(*SMALL, F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
     sketches = keyed.rollup("lang", "source").agg(F.count("*").alias("texts"), *(
-        F.percentile_approx(m, [0.5, 0.75], ACCURACY).alias(m) for m in FLOORS))
+        F.percentile_approx(m, [0.5, 0.9], ACCURACY).alias(m) for m in SMALL))
     return sketches.select("lang", "source", "texts", *(
-        F.greatest(F.lit(floor), F.col(m)[0] + SPREADS * (F.col(m)[1] - F.col(m)[0])).alias(f"most_{m}") for m, floor in FLOORS.items()))
+        (F.col(m)[0] + SPREADS * F.greatest(F.lit(small), F.col(m)[1] - F.col(m)[0])).alias(f"most_{m}") for m, small in SMALL.items()))
 
 
-def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", source: str = "source") -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", source: str = "source",
+           least: int = LEAST) -> DataFrame:
     """The measures of every text with ``base_failed`` and ``kept``, one row per input row.
 
+    ``least`` is the number of texts from which a group has limits of its own; the general limits hold for any number.
     Null texts have no words and fail. Null languages and sources are groups of their own. An empty
     table gives no rows. Other columns are ignored.
     """
     rows = kept(measures(docs, text, doc_id, lang, source), "measures")
     found = kept(limits(rows), "limits")
-    most = [f"most_{m}" for m in FLOORS]
+    most = [f"most_{m}" for m in SMALL]
 
     def level(name: str, where: str) -> DataFrame:
-        part = found.where(where).where(F.col("texts") >= (LEAST if name != "all" else 0))
+        part = found.where(where).where(F.col("texts") >= least)
         return part.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.struct(*most).alias(name))
 
     keyed = _shares(rows).withColumns({"l": F.coalesce("lang", F.lit("")), "s": F.coalesce("source", F.lit(""))})
     keyed = keyed.join(level("own", "source IS NOT NULL"), ["l", "s"], "left")
     keyed = keyed.join(level("language", "lang IS NOT NULL AND source IS NULL").drop("s"), "l", "left")
     general = found.where("lang IS NULL").select(F.struct(*most).alias("general")).first()
-    nothing = {f"most_{m}": floor for m, floor in FLOORS.items()}
-    general = F.struct(*(F.lit(v).alias(k) for k, v in (general["general"].asDict() if general and general["general"][0] is not None else nothing).items()))
-    limit = F.coalesce("own", "language", general)
+    # without any text that passes the base rules, nothing is left to judge
+    general = general["general"].asDict() if general else dict.fromkeys(most)
+    limit = F.coalesce("own", "language", F.struct(*(F.lit(v).cast("double").alias(k) for k, v in general.items())))
     fits = F.lit(True)
-    for m in FLOORS:
+    for m in SMALL:
         fits &= F.col(m) <= limit[f"most_{m}"]
-    return keyed.withColumn("kept", ~F.col("base_failed") & fits).select(
+    return keyed.withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(False))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-_FLOORS_SQL = ", ".join(
-    f"greatest({floor}::DOUBLE, quantile_disc({m}, 0.5) + {SPREADS} * (quantile_disc({m}, 0.75) - quantile_disc({m}, 0.5))) AS most_{m}"
-    for m, floor in FLOORS.items())
-_FITS_SQL = " AND ".join(
-    f"{m} <= coalesce(own.most_{m}, language.most_{m}, general.most_{m}, {floor})" for m, floor in FLOORS.items())
+_LIMITS_SQL = ", ".join(
+    f"quantile_disc({m}, 0.5) + {SPREADS} * greatest({small}::DOUBLE, quantile_disc({m}, 0.9) - quantile_disc({m}, 0.5)) AS most_{m}"
+    for m, small in SMALL.items())
+_FITS_SQL = " AND ".join(f"{m} <= coalesce(own.most_{m}, language.most_{m}, general.most_{m})" for m in SMALL)
 _SQL = f"""
 WITH texts AS (
   SELECT doc_id, coalesce(lang, '') AS l, coalesce(source, '') AS s, coalesce(text, '') AS t,
@@ -157,13 +159,13 @@ WITH texts AS (
 ), shares AS (
   SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
          n_symbols / greatest(n_words, 1) AS symbol_share, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
-         n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS word_length
+         word_chars / greatest(n_words, 1) AS word_length
   FROM m
 ), limits AS (
-  SELECT l, s, grouping(l) AS no_l, grouping(s) AS no_s, count(*) AS texts, {_FLOORS_SQL}
+  SELECT l, s, grouping(l) AS no_l, grouping(s) AS no_s, count(*) AS texts, {_LIMITS_SQL}
   FROM shares WHERE NOT base_failed GROUP BY ROLLUP (l, s)
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_FITS_SQL} AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({_FITS_SQL}, FALSE) AS kept
 FROM shares
 LEFT JOIN (SELECT * FROM limits WHERE no_s = 0 AND texts >= {LEAST}) own ON own.l = shares.l AND own.s = shares.s
 LEFT JOIN (SELECT * FROM limits WHERE no_s = 1 AND no_l = 0 AND texts >= {LEAST}) language ON language.l = shares.l

@@ -242,3 +242,32 @@ def test_quality_limits_follow_the_group(spark):
     rows = spark.createDataFrame([(i, " ".join(f"w{i}$$$ x{j}&&&" for j in range(20)), None, None) for i in range(40)],
                                  "doc_id long, text string, lang string, source string")
     assert all(r.kept for r in quality.judged(rows).collect())  # where it is the rule, it isn't odd
+
+
+def test_two_groups_judge_a_measure_differently_both_ways(spark):
+    """Symbols are usual in one source and long words in the other; each rejects what is usual in the other."""
+    prepare(spark)
+
+    def text(i, symbols, length):
+        return " ".join(f"{'$' * symbols if j % 2 else ''}{f'{i}x{j}y'.ljust(length + (i + j) % 2, 'z')}" for j in range(40))
+
+    code = [(i, text(i, 2 if i % 3 else 0, 7), "en", "code") for i in range(120)]
+    prose = [(200 + i, text(i, 0, 7 + i % 9), "en", "prose") for i in range(120)]
+    odd = [(400, text(1, 2, 7), "en", "code"), (401, text(1, 2, 7), "en", "prose"),
+           (402, text(1, 0, 15), "en", "code"), (403, text(1, 0, 15), "en", "prose")]
+    rows = spark.createDataFrame(code + prose + odd, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality.judged(rows).collect()}
+    assert [kept[i] for i in range(400, 404)] == [True, False, False, True]
+    assert all(kept[i] for i in range(120)) and all(kept[200 + i] for i in range(120))
+
+
+def test_quality_with_and_without_limits_of_its_own(spark):
+    prepare(spark)
+    short = spark.createDataFrame([(1, "a b", "en", "s"), (2, None, None, None)], "doc_id long, text string, lang string, source string")
+    assert not any(r.kept for r in quality.judged(short).collect())
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), "en", "a") for i in range(60)]
+    rows += [(100 + i, " ".join(f"w{i}$$ x{j}" for j in range(20)), "en", "b") for i in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    few = {r.doc_id: r.kept for r in quality.judged(frame).collect()}
+    own = {r.doc_id: r.kept for r in quality.judged(frame, least=5).collect()}
+    assert not any(few[100 + i] for i in range(5)) and all(own[100 + i] for i in range(5)) and all(own[i] for i in range(60))
