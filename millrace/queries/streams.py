@@ -385,7 +385,6 @@ class _Run:
     def __init__(self, t: Tables):
         flow = Medallion(
             t.spark, new_folder(t.spark, "flow"), countries(t), f"millrace_current_books_{uuid.uuid4().hex[:8]}",
-            join_bound="1500 days",
         )
         for messages in message_batches(t):
             flow.run_batch(messages)
