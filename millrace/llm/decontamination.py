@@ -5,30 +5,31 @@ marked in either are marked, then the next longest, down to ``LEAST`` words; mat
 Karp-Rabin values of the words. The share of an item's words in tiles counts, wherever the tiles lie, so
 passages in another order are caught. Words are lower-cased and parted by ASCII signs and white space.
 
-The benchmark is the stated query set: it is worked off in blocks of bounded size, each held by every
-task, against all documents; documents are never shuffled.
+Candidates come from a join of seeds. A filter of bits, of bounded size whatever the benchmark, goes to every
+task and drops document seeds that no item has; the rest meet the items' seeds in Spark. Equal texts are one
+text from there on, so only different texts that share a seed with an item are shuffled and tiled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import rows_where
-from millrace.llm.common import registered, table
+from millrace.llm.arrow import giving_back
+from millrace.llm.common import kept, registered, table
 from millrace.llm.words import SIGNS, U64, ByteHash, Words
 
 #: Words of the seeds that bring a document and an item together, and of the shortest tile.
 SEED, LEAST = 5, 5
 #: The share of an item's words in tiles from which a document is contaminated.
 COVERAGE = 0.6
-#: Bytes of benchmark text that a task holds at once.
-BLOCK_BYTES = 16 << 20
+#: The filter of seeds has about 32 bits a seed, from 2**20 to 2**28 bits (32 MB); beyond that it lets more pass.
+LEAST_BITS, MOST_BITS = 20, 28
+#: Bits in one row of the filter, as the bitmap functions have it.
+_ROW_BITS = 8 * 4096
 
 _HASH = ByteHash(61)
 
@@ -101,93 +102,122 @@ def _rank(values: np.ndarray) -> np.ndarray:
     return out
 
 
-class Seeds:
-    """The seeds of a block of items: a sorted array of values, and the item of each."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        words = normal_words(pa.array([text for _, text in items], type=pa.string()))
-        hashes, first = words.hashes(_HASH), words.whole_windows(SEED)
-        keys = _HASH.windows(hashes, SEED)[first]
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.owners = keys[order], words.owners()[first][order]
-        self.items = [(item_id, hashes[words.first[i]:words.first[i + 1]]) for i, (item_id, _) in enumerate(items)]
-        self.bits = np.zeros(1 << 20, dtype=bool)
-        self.bits[(self.keys & U64(len(self.bits) - 1)).astype(np.int64)] = True
-
-    def coverage(self, column: pa.Array) -> Iterator[list[dict]]:
-        """For each text: item, covered share and tiles of the items that share a seed with it."""
-        words = normal_words(column)
-        hashes, first = words.hashes(_HASH), words.whole_windows(SEED)
-        seen = _HASH.windows(hashes, SEED)[first]
-        maybe = np.flatnonzero(self.bits[(seen & U64(len(self.bits) - 1)).astype(np.int64)])
-        low, high = np.searchsorted(self.keys, seen[maybe], side="left"), np.searchsorted(self.keys, seen[maybe], side="right")
-        texts, wanted = words.owners()[first[maybe]], [set() for _ in range(len(words))]
-        for text, i, j in zip(texts.tolist(), low.tolist(), high.tolist()):
-            wanted[text].update(self.owners[i:j].tolist())
-        for k, numbers in enumerate(wanted):
-            mine, out = hashes[words.first[k]:words.first[k + 1]], []
-            for number in sorted(numbers):
-                item_id, own = self.items[number]
-                found = tiles(mine, own)
-                out.append({"item_id": item_id, "coverage": sum(n for _, _, n in found) / len(own), "tiles": len(found)})
-            yield out
-
-
-def benchmark_blocks(benchmark: DataFrame, text: str = "text", item_id: str = "item_id") -> Iterator[list[tuple[int, str]]]:
-    """The items, in blocks of about BLOCK_BYTES; one block at a time is taken to the driver."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // BLOCK_BYTES))
-    for k in range(n):
-        yield [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
-
-
-_ITEMS = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.int32())]))
-_DDL = "doc_id long, text string, items array<struct<item_id:long,coverage:double,tiles:int>>"
+def _text_seeds(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The seeds of each text, repeated ones once: their texts, in order, and their values."""
+    words = normal_words(column)
+    first = words.whole_windows(SEED)
+    keys = _HASH.windows(words.hashes(_HASH), SEED)[first]
+    owners = words.owners()[first]
+    order = np.lexsort((keys, owners))
+    keys, owners = keys[order], owners[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
+    return owners[new], keys[new]
+
+
+def _seed_rows(texts: DataFrame, name: str, held=None) -> DataFrame:
+    """(``name``, key): the seeds of ``texts`` (``name``, text); with ``held``, a filter, those that pass it."""
+
+    def run(batches):
+        bits = np.frombuffer(held.value, dtype=np.uint8) if held is not None else None
+        for batch in batches:
+            owners, keys = _text_seeds(batch.column("text"))
+            if bits is not None:
+                at = keys & U64(8 * len(bits) - 1)
+                passed = (bits[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8)) & 1 > 0
+                owners, keys = owners[passed], keys[passed]
+            for k in range(0, len(keys), 1 << 16):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(name).take(pa.array(owners[k:k + (1 << 16)])), pa.array(keys[k:k + (1 << 16)].view(np.int64))], names=[name, "key"])
+
+    return texts.select(name, "text").mapInArrow(giving_back(run), f"{name} binary, key long")
+
+
+def _filter(seeds: DataFrame) -> bytes:
+    """A bit for the low end of every key, packed; at most ``2 ** MOST_BITS`` bits."""
+    size = 1 << min(MOST_BITS, max(LEAST_BITS, (32 * seeds.count()).bit_length()))
+    at = F.col("key").bitwiseAND(F.lit(size - 1)) + 1  # buckets of bitmap functions begin at 1
+    rows = seeds.groupBy(F.bitmap_bucket_number(at).alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    out = bytearray(max(size, _ROW_BITS) // 8)
+    for r in rows:
+        begin = (r["row"] - 1) * _ROW_BITS // 8
+        out[begin:begin + len(r["bits"])] = r["bits"]
+    return bytes(out[:max(size // 8, 1)])
+
+
+def _tiled(batches):
+    """Coverage and tiles of pairs of texts."""
+    last, mine = None, None
+    for batch in batches:
+        items = normal_words(batch.column("item_text"))
+        own = items.hashes(_HASH)
+        texts, covers, counts = batch.column("digest").to_pylist(), [], []
+        for k, digest in enumerate(texts):
+            if digest != last:
+                last, mine = digest, normal_words(batch.column("text").slice(k, 1)).hashes(_HASH)
+            words = own[items.first[k]:items.first[k + 1]]
+            found = tiles(mine, words)
+            covers.append(sum(n for _, _, n in found) / len(words))
+            counts.append(len(found))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("digest"), batch.column("item"), pa.array(covers, type=pa.float64()), pa.array(counts, type=pa.int32())],
+            names=["digest", "item", "coverage", "tiles"])
+
+
+def _digest(text) -> F.Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def covered_texts(texts: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """(digest, item_id, coverage, tiles) of the texts (digest, text) that share a seed with an item; repeated rows count once.
+
+    A seed of very many texts is as many rows, which adaptive execution splits; it is never a group.
+    """
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("item_text")).where(
+        "item_text IS NOT NULL").withColumn("item", _digest(F.col("item_text")))
+    different = items.groupBy("item").agg(F.any_value("item_text").alias("item_text"))
+    seeds = kept(_seed_rows(different.select("item", F.col("item_text").alias("text")), "item"), "item-seeds")
+    held = texts.sparkSession.sparkContext.broadcast(_filter(seeds))
+    hits = _seed_rows(texts, "digest", held)
+    pairs = kept(hits.join(seeds, "key").select("digest", "item").distinct(), "candidates")
+    wanted = texts.join(pairs.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
+    both = pairs.join(wanted, "digest").join(different, "item").select("digest", "item", "text", "item_text")
+    found = both.mapInArrow(giving_back(_tiled), "digest binary, item binary, coverage double, tiles int")
+    return found.join(items.select("item", "item_id").distinct(), "item").select("digest", "item_id", "coverage", "tiles")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, items, coverage, tiles, contaminated), one row per row of ``docs``.
 
-    ``items`` are those of which at least the share ``coverage`` of words lies in tiles; ``coverage`` and ``tiles``
-    are those of the item covered best. Null and empty texts contain nothing; null items and items of fewer than
-    SEED words are too short to tell a leak from chance and match nothing. Rows with the same or a null id are
-    judged one by one. An empty benchmark contaminates nothing. Other columns are ignored.
+    ``items`` are the ids of those of which at least the share ``coverage`` of words lies in tiles, each once, without null
+    ids; ``coverage`` and ``tiles`` are those of the item covered best. Null and empty texts contain nothing; null items and
+    items of fewer than SEED words are too short to tell a leak from chance and match nothing. Rows with the same or a null
+    id are judged one by one. An empty benchmark contaminates nothing. Other columns are ignored.
     """
-    context = docs.sparkSession.sparkContext
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("items", F.array().cast("array<struct<item_id:bigint,coverage:double,tiles:int>>"))
-    for block in benchmark_blocks(benchmark):
-        held = context.broadcast(block)
-
-        def run(batches, held=held):
-            seeds = Seeds(held.value)
-            for batch in batches:
-                found = [old + new for old, new in zip(batch.column("items").to_pylist(), seeds.coverage(batch.column("text")))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("text"), pa.array(found, type=_ITEMS)], names=["doc_id", "text", "items"])
-
-        rows = rows.mapInArrow(run, _DDL)
-    enough = F.filter("items", lambda x: x["coverage"] >= coverage)
-    best = F.array_max(F.transform("items", lambda x: F.struct(x["coverage"], x["tiles"])))
-    return rows.select(
-        "doc_id", F.sort_array(F.transform(enough, lambda x: x["item_id"])).alias("items"),
-        F.coalesce(best["coverage"], F.lit(0.0)).alias("coverage"), F.coalesce(best["tiles"], F.lit(0)).alias("tiles"),
-        (F.size(enough) > 0).alias("contaminated"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("digest", _digest(F.col("text")))
+    found = covered_texts(rows.select("digest", "text"), benchmark).groupBy("digest").agg(
+        F.sort_array(F.collect_set(F.when(F.col("coverage") >= coverage, F.col("item_id")))).alias("items"),
+        F.max(F.struct("coverage", "tiles")).alias("best"))
+    judged = rows.select("doc_id", "digest").join(kept(found, "covered"), "digest", "left")
+    best = F.coalesce(F.col("best.coverage"), F.lit(0.0))
+    return judged.select(
+        "doc_id", F.coalesce("items", F.array().cast("array<bigint>")).alias("items"), best.alias("coverage"),
+        F.coalesce("best.tiles", F.lit(0)).alias("tiles"), F.coalesce(F.col("best.coverage") >= coverage, F.lit(False)).alias("contaminated"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that contain no item of the benchmark, unchanged."""
-    context = docs.sparkSession.sparkContext
-    for block in benchmark_blocks(benchmark):
-        held = context.broadcast(block)
-
-        def test(held=held):
-            seeds = Seeds(held.value)
-            return lambda batch: [all(x["coverage"] < coverage for x in found) for found in seeds.coverage(batch.column(text))]
+    """The rows of ``docs`` that contain no item of the benchmark, unchanged.
 
-        docs = rows_where(docs, test)
-    return docs
+    Rows with null or empty texts stay, repeated rows stay or go alike, and all columns keep their names and values,
+    whatever they are called. An empty benchmark leaves all rows, an empty table stays empty.
+    """
+    name = "digest"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    rows = docs.withColumn(name, _digest(F.col(f"`{text}`").cast("string")))
+    texts = rows.select(F.col(name).alias("digest"), F.col(f"`{text}`").cast("string").alias("text"))
+    bad = kept(covered_texts(texts, benchmark).where(F.col("coverage") >= coverage).select("digest").distinct(), "contaminated")
+    return rows.join(bad.withColumnRenamed("digest", name), name, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 @registered()
