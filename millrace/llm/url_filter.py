@@ -5,11 +5,13 @@ along links, and distrust from pages that a rule blocks, against the links (who
 Links come from the pages' ``href`` attributes; a relative one stays on its host. Each host also has a link to
 and from the host one label up, if that one is a known host, as sites share their names. A page without
 a rule is blocked if its host has more distrust than trust and at least ``THRESHOLD`` of it, times the mean
-mass of a host; otherwise it is allowed.
+mass of a host; otherwise it is allowed. Ranks are iterated until all hosts together change by less than
+``TOLERANCE`` of the mean mass of one host.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +32,7 @@ class Rule:
 
 
 RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"))
-DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.5
+DAMPING, TOLERANCE, THRESHOLD = 0.85, 1e-3, 0.5
 #: Links that are followed out of one page count by host, however often they repeat.
 _LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?([^\"'\s>]+)"
 
@@ -87,8 +89,8 @@ def _site_links(hosts: DataFrame) -> DataFrame:
         known.select(F.col("parent").alias("src"), F.col("host").alias("dst"), F.lit(1.0).alias("weight")))
 
 
-def personalised_rank(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, mass): PageRank with restarts at ``seeds`` (host, mass).
+def personalised_rank(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = 1e-6) -> DataFrame:
+    """(host, mass): PageRank with restarts at ``seeds`` (host, mass), until a round moves less than ``tolerance`` in all.
 
     A host's mass is added up before the shuffle and joined by host, so one that very many hosts link to is no
     hot key. Hosts without links return their mass to the seeds, in the share of the seeds' masses.
@@ -96,21 +98,25 @@ def personalised_rank(links: DataFrame, seeds: DataFrame, damping: float = DAMPI
     total = seeds.agg(F.sum("mass")).first()[0]
     if not total:
         return seeds.sparkSession.createDataFrame([], "host string, mass double")
-    start = kept(seeds.groupBy("host").agg((F.sum("mass") / F.lit(float(total))).alias("seed")), "seeds")
+    moved = kept(seeds.groupBy("host").agg((F.sum("mass") / F.lit(float(total))).alias("seed")).select(
+        "host", F.lit(0.0).alias("got"), "seed"), "seeds")
     out = links.groupBy("src").agg(F.sum("weight").alias("out"))
     steps = kept(links.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")), "steps")
     if steps.isEmpty():
-        return start.select("host", F.col("seed").alias("mass"))
-    ranks = start.select("host", F.col("seed").alias("mass"))
-    for k in range(rounds):
+        return moved.select("host", F.col("seed").alias("mass"))
+    rest = 1.0  # restarts, and what dead ends give back
+    # changes shrink by the damping each round, so they are below the tolerance by then
+    for k in range(math.ceil(math.log(tolerance / 8) / math.log(damping)) + 2):
+        ranks = moved.select("host", (F.col("got") + F.lit(rest) * F.col("seed")).alias("mass"))
         sent = ranks.join(steps, ranks["host"] == steps["src"]).groupBy(F.col("dst").alias("host")).agg(
             (F.sum(F.col("mass") * F.col("share")) * damping).alias("got"))
-        moved = sent.join(start, "host", "full").select(
-            "host", F.coalesce("got", F.lit(0.0)).alias("got"), F.coalesce("seed", F.lit(0.0)).alias("seed"))
-        moved = kept(moved, f"rank-{k}")
-        rest = 1.0 - (moved.agg(F.sum("got")).first()[0] or 0.0)  # restarts, and what dead ends give back
-        ranks = moved.select("host", (F.col("got") + F.lit(rest) * F.col("seed")).alias("mass"))
-    return ranks
+        moved = kept(sent.join(moved.select("host", F.col("got").alias("before"), "seed"), "host", "full").select(
+            "host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("got", "before", "seed"))), f"rank-{k}")
+        received, change = moved.agg(F.sum("got"), F.sum(F.abs(F.col("got") - F.col("before")))).first()
+        rest = 1.0 - (received or 0.0)
+        if 2 * (change or 0.0) < tolerance:  # the restarts change by no more than the links
+            return moved.select("host", (F.col("got") + F.lit(rest) * F.col("seed")).alias("mass"))
+    raise RuntimeError("the ranks of hosts do not settle")
 
 
 def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -121,9 +127,9 @@ def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = kept(host_links(pages).unionByName(_site_links(counts.select("host"))), "links")
     reverse = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     # a host's part of a seed is the share of its pages that a rule judges so
-    trust = personalised_rank(links, counts.where("allowed > 0").select("host", (F.col("allowed") / F.col("pages")).alias("mass")))
-    distrust = personalised_rank(reverse, counts.where("blocked > 0").select("host", (F.col("blocked") / F.col("pages")).alias("mass")))
     n = max(1, counts.count())
+    trust = personalised_rank(links, counts.where("allowed > 0").select("host", (F.col("allowed") / F.col("pages")).alias("mass")), tolerance=TOLERANCE / n)
+    distrust = personalised_rank(reverse, counts.where("blocked > 0").select("host", (F.col("blocked") / F.col("pages")).alias("mass")), tolerance=TOLERANCE / n)
     both = counts.join(trust.withColumnRenamed("mass", "trust"), "host", "left").join(
         distrust.withColumnRenamed("mass", "distrust"), "host", "left").na.fill(0.0, ["trust", "distrust"])
     return both.select("host", "trust", "distrust", (
