@@ -4,7 +4,7 @@ A segment is a line or a paragraph (up to a blank line), or 32 words of a longer
 wrapped notices are found. A softmax regression over
 hashed word 1- to 3-grams names its family, "unknown" (licence talk of no known family) or "none". It is
 trained here: on the notices below, mixed into ordinary text and with words dropped, on invented licence names,
-and on segments of at most ``TRAIN_TEXTS`` documents. A temperature fitted on examples set aside calibrates
+and on at most ``TRAIN_TEXTS`` pieces of documents. A temperature fitted on examples set aside calibrates
 the probabilities. A family is only reported as confirmed if the segment also holds most word pairs of one of
 its notices; else it counts as unknown.
 """
@@ -42,7 +42,7 @@ _SKELETONS = ("licensed under the {} license", "released under the {} license ve
 FAMILIES = [*NOTICES, "unknown", "none"]
 NONE, UNKNOWN = FAMILIES.index("none"), FAMILIES.index("unknown")
 SEGMENT, STEP = 32, 16
-TRAIN_TEXTS, COPIES, SEED = 400, 40, 7
+TRAIN_TEXTS, TRAIN_CHARACTERS, COPIES, SEED = 400, 4000, 40, 7
 #: Hashed n-grams; the least calibrated probability; the share of a notice's word pairs a find must hold.
 DIMENSIONS, GRAMS, LEAST, CONFIRM = 1 << 16, 3, 0.6, 0.6
 
@@ -199,13 +199,18 @@ def train(segments: list[list[str]], classes: np.ndarray, rounds: int = 150, rid
     return model
 
 
-def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Model:
-    """A model with ordinary text of at most TRAIN_TEXTS documents, the first 4,000 characters of each."""
-    chosen = docs.where(F.col(text).isNotNull()).select(F.substring(F.col(text).cast("string"), 1, 4000).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("h"))
+def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", most: int = TRAIN_TEXTS, size: int = TRAIN_CHARACTERS) -> Model:
+    """A model with ordinary text: ``most`` pieces of ``size`` characters, chosen by a hash among those of all whole texts."""
+    chosen = docs.where(F.length(F.col(text).cast("string")) > 0).select(
+        F.col(text).cast("string").alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("h"))
+    pieces = F.ceil(F.length("text") / F.lit(size)).cast("int")
+    total = chosen.agg(F.sum(pieces)).first()[0] or 0
     # a hash picks a few times as many first, so that tasks don't each send that many
-    share = min(1.0, 4 * TRAIN_TEXTS / max(1, docs.count()))
-    some = chosen.where(F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40)))
-    return train(*examples([r.text for r in some.orderBy("h", "text").limit(TRAIN_TEXTS).collect()]))
+    share = min(1.0, 4 * most / max(1, total))
+    drawn = chosen.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).withColumn("h", F.xxhash64("h", "piece")).where(
+        F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40)))
+    some = drawn.select(F.substring("text", F.col("piece") * size + 1, F.lit(size)).alias("text"), "h")
+    return train(*examples([r.text for r in some.orderBy("h", "text").limit(most).collect()]))
 
 
 _FOUND = pa.list_(pa.struct([("family", pa.string()), ("confirmed", pa.bool_()), ("probability", pa.float64()), ("word", pa.int64())]))
