@@ -180,7 +180,8 @@ def covered_texts(texts: DataFrame, benchmark: DataFrame, text: str = "text", it
     held = texts.sparkSession.sparkContext.broadcast(_filter(seeds))
     hits = _seed_rows(texts, "digest", held)
     pairs = kept(hits.join(seeds, "key").select("digest", "item").distinct(), "candidates")
-    wanted = texts.join(pairs.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
+    few = kept(pairs.select("digest").distinct(), "candidate-texts")  # written, so that its size is known before texts are shuffled
+    wanted = texts.join(few, "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
     both = pairs.join(wanted, "digest").join(different, "item").select("digest", "item", "text", "item_text")
     found = both.mapInArrow(giving_back(_tiled), "digest binary, item binary, coverage double, tiles int")
     return found.join(items.select("item", "item_id").distinct(), "item").select("digest", "item_id", "coverage", "tiles")
