@@ -1,10 +1,12 @@
 """The multi-topic flow as a whole."""
 
+from pathlib import Path
+
 from conftest import SMALL, rows
 from millrace.operators import assert_unique
 from millrace.plans.feeds import message_batches
 from millrace.plans.inputs import Tables, countries
-from millrace.plans.medallion import Medallion
+from millrace.plans.medallion import Medallion, steps_for
 
 
 def test_flow_is_incremental_and_repeatable(spark, folder):
@@ -45,3 +47,20 @@ def test_flow_is_incremental_and_repeatable(spark, folder):
     stored = spark.read.schema(flow.customers.schema).option("recursiveFileLookup", "true").parquet(
         f"{folder}/customers_silver/base", f"{folder}/customers_silver/changes")
     assert stored.join(gone, ["customer_id"], "left_semi").count() == 0
+
+
+def test_only_the_needed_steps_run(spark, folder):
+    assert steps_for("current_books") == {"bronze", "books_silver", "current_books"}
+    t, steps = Tables(spark, SMALL), steps_for("deletes")
+    flow = Medallion(spark, folder, countries(t), "deletes_current_books")
+    for messages in message_batches(t):
+        flow.run_batch(messages, steps)
+    before = flow.customers.current().count()
+    flow.process_delete_requests()
+    flow.process_deletes()
+    asked = flow.requests.current()
+    assert asked.where("status = 'deleted'").count() > 0
+    gone = asked.select("customer_id").distinct()
+    assert flow.customers.current().join(gone, ["customer_id"], "left_semi").count() == 0 < flow.customers.current().count() < before
+    assert sorted(p.name for p in Path(folder).iterdir() if not p.name.startswith("_")) == [
+        "bronze", "customers_silver", "delete_requests", "raw"]
