@@ -82,6 +82,17 @@ def test_state_stays_bounded(spark, folder):
     assert len(run.newest()) == 1200
 
 
+def test_keys_share_the_groups_of_the_state(spark, folder):
+    run = Deliveries(spark, folder, "100 seconds")
+    keys = 3000
+    assert run([(n, f"k{n}", at(0), 0.0) for n in range(keys)], [(f"k{n}", at(0), f"v{n}") for n in range(0, keys, 2)]) == sorted(
+        [(n, f"v{n}") for n in range(0, keys, 2)], key=repr)
+    # 256 groups with at most 16 lists of versions, one slot, its list of rows and two rows for its timer; a group per key had over 10,000
+    assert run.state_rows() <= 256 * (16 + 1 + 1 + 2)
+    newest = run([], [("k0", at(-1), "old"), ("k1", at(1), "w1"), ("k2", at(1), "w2")])
+    assert newest == sorted([(1, "w1"), (2, "w2"), *((n, f"v{n}") for n in range(0, keys, 2) if n != 2)], key=repr)
+
+
 def test_sides_with_shared_names_are_refused(spark, folder):
     land(spark, f"{folder}/o", [], ORDERS)
     orders = stream(spark, f"{folder}/o", ORDERS)
