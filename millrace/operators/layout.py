@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 COMPACT_BYTES = 1 << 30
 MIN_PARTITION_BYTES = 1 << 30
 STATISTICS_COLUMNS = 32
+# files a task of a partitioned write has open before it sorts its rows
+OPEN_FILES = 8
 
 _UNORDERED = (T.MapType, T.VariantType, T.BinaryType, T.ArrayType)
 
@@ -89,13 +91,26 @@ def _row_address() -> Column:
     return F.xxhash64("_metadata.file_path", "_metadata.row_index")
 
 
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """A partitioned write whose tasks hold few partitions each: their files are open at once, and no rows are sorted in memory."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    conf = df.sparkSession.conf
+    before = conf.get(setting)
+    conf.set(setting, str(OPEN_FILES))
+    try:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.set(setting, before)
+
+
 def compact(spark: SparkSession, source: str, destination: str, target_bytes: int = COMPACT_BYTES,
             partition_by: list[str] | None = None) -> DataFrame:
     """Rewrite a parquet folder into files of about ``target_bytes``.
 
     Small files are packed together without a shuffle. A partitioned table is spread
     by its partition columns plus a file number taken from each row's storage place,
-    so a large partition becomes several files and a small one only one.
+    so a large partition becomes several files and a small one only one. Every file has
+    a task of its own, which writes rows as they come.
     """
     df = spark.read.parquet(source)
     if partition_by:
@@ -106,11 +121,13 @@ def compact(spark: SparkSession, source: str, destination: str, target_bytes: in
         same = F.lit(True)
         for i, c in enumerate(partition_by):
             same = same & F.col(c).eqNullSafe(F.col(f"_part_{i}"))
+        # one row per partition, so sizes are broadcast; the files are numbered through
+        through = F.sum("_files").over(Window.orderBy(*[f"_part_{i}" for i in range(len(partition_by))]).rowsBetween(Window.unboundedPreceding, -1))
+        sizes = sizes.withColumn("_first", F.coalesce(through, F.lit(0)).cast("int"))
         total = sizes.agg(F.sum("_files")).first()[0] or 1
-        spread = df.withColumn("_row", _row_address()).join(sizes, same, "inner")
-        spread = spread.withColumn("_file", F.pmod("_row", "_files"))
-        out = spread.repartition(int(total), *partition_by, "_file").select(df.columns)
-        out.write.mode("overwrite").partitionBy(*partition_by).parquet(destination)
+        spread = df.withColumn("_row", _row_address()).join(F.broadcast(sizes), same, "inner")
+        spread = spread.withColumn("_file", (F.col("_first") + F.pmod("_row", "_files")).cast("int"))
+        write_partitions(spread.repartitionById(int(total), F.col("_file")).select(df.columns), destination, partition_by)
     else:
         size = files_of(df).agg(F.sum("file_bytes")).first()[0] or 0
         out = df.coalesce(max(1, math.ceil(size / target_bytes)))

@@ -10,6 +10,7 @@ from millrace.operators import (
     Check, add_check, archive_partitions, compact, drop_check, enforce, file_stats,
     key_counts, not_null, partition_report, split_valid, violations, zorder,
 )
+from millrace.operators.layout import write_partitions
 from millrace.plans.inputs import Tables, cents
 from millrace.queries.registry import query
 from millrace.session import new_folder
@@ -209,7 +210,7 @@ def compacted(t: Tables) -> DataFrame:
 """)
 def compacted_partitions(t: Tables) -> DataFrame:
     scattered, packed = new_folder(t.spark, "scattered"), new_folder(t.spark, "packed")
-    t.lineitem.repartition(16).write.partitionBy("l_returnflag").parquet(scattered)
+    write_partitions(t.lineitem.repartition(16), scattered, ["l_returnflag"])
     rows = compact(t.spark, scattered, packed, partition_by=["l_returnflag"])
     return rows.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.sum(cents("l_extendedprice")).alias("cents")

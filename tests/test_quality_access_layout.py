@@ -9,7 +9,8 @@ from millrace.operators import (
     file_stats, item_sets, lookup_join, missed_rows, not_null, partition_report, replace_table,
     salted_join, snapshots, split_valid, table_detail, zorder,
 )
-from millrace.operators.layout import files_of, with_z_value, zorder_bits
+from millrace.operators import layout
+from millrace.operators.layout import files_of, with_z_value, write_partitions, zorder_bits
 
 ORDERS = "id STRING, at STRING, quantity INT"
 
@@ -116,6 +117,18 @@ def test_a_large_partition_becomes_several_files(spark, folder):
     assert packed.count() == 20000 and files_of(packed).count() >= 2
 
 
+def test_every_compacted_file_has_a_task_that_sorts_nothing(spark, folder, monkeypatch):
+    df = spark.range(3000).selectExpr("id", "id % 7 AS p")
+    df.repartition(4).write.partitionBy("p").parquet(f"{folder}/parts")
+    written = []
+    monkeypatch.setattr(layout, "write_partitions", lambda out, path, columns: (written.append(out), write_partitions(out, path, columns)))
+    packed = compact(spark, f"{folder}/parts", f"{folder}/out", partition_by=["p"])
+    assert rows(packed.select("id", "p")) == rows(df)
+    dealt = written[0].groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("p"))
+    assert sorted(tuple(r) for r in dealt.collect()) == [(n, 1) for n in range(7)]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_partition_report(spark, folder):
     spark.range(10).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(f"{folder}/t")
     report = partition_report(spark.read.parquet(f"{folder}/t"), ["p"], min_bytes=1)
