@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.arrow import giving_back
 from millrace.llm.common import registered, shuffle_partitions, table
 from millrace.llm.cuckoo import CuckooFilter
 from millrace.operators.latest import latest_per_key
@@ -185,7 +186,7 @@ class LineIndex:
         touched = keys.select("shard").distinct()
         rows = keys.select("shard", "kind", "key", F.lit(None).cast("binary").alias("filter")).unionByName(filters.join(touched, "shard", "left_semi"))
         dealt = rows.repartition(shuffle_partitions(self.spark), "shard").sortWithinPartitions("shard", "kind")
-        return dealt.mapInArrow(_filtered(self.buckets, answer), "shard int, key binary, known boolean, filter binary")
+        return dealt.mapInArrow(giving_back(_filtered(self.buckets, answer)), "shard int, key binary, known boolean, filter binary")
 
     def _update_filters(self, keys: DataFrame, batch: int) -> None:
         self._write(self._through_filters(keys, answer=False).select("shard", "filter"), "filters", batch)
@@ -243,7 +244,7 @@ class LineIndex:
         gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("key").alias("gone"))  # at most the lines of one document
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
         joined = rows.join(gone, _document("doc_id") == F.col("_id"), "left").select("doc_id", "text", "gone")
-        return joined.mapInArrow(_kept_lines(), "doc_id long, n_lines long, n_dropped long, kept string")
+        return joined.mapInArrow(giving_back(_kept_lines()), "doc_id long, n_lines long, n_dropped long, kept string")
 
 
 def new_index(docs: DataFrame, text: str = "text") -> LineIndex:

@@ -153,3 +153,14 @@ def test_query_and_its_sql(spark, corpus, folder):
     assert difference(query, ORACLES["op13_line_dedup"], db) is None
     want = [(d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in plain(rows, rows)]
     assert sorted(map(tuple, query.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_python_steps_give_their_memory_back(spark, tmp_path, monkeypatch):
+    wrapped, real = [], line_dedup.giving_back
+    monkeypatch.setattr(line_dedup, "giving_back", lambda run: wrapped.append(run.__qualname__.split(".")[0]) or real(run))
+    docs = spark.createDataFrame([(n, "a line that three documents hold\nshort") for n in range(3)], "doc_id long, text string")
+    index = line_dedup.LineIndex(spark, str(tmp_path / "index"), 2)
+    index.insert(docs)
+    kept = index.without_repeats(docs).select("doc_id", "n_dropped").collect()
+    assert sorted(tuple(r) for r in kept) == [(0, 1), (1, 1), (2, 0)]
+    assert wrapped == ["_filtered", "_kept_lines"]
