@@ -64,3 +64,8 @@ def test_only_the_needed_steps_run(spark, folder):
     assert flow.customers.current().join(gone, ["customer_id"], "left_semi").count() == 0 < flow.customers.current().count() < before
     assert sorted(p.name for p in Path(folder).iterdir() if not p.name.startswith("_")) == [
         "bronze", "customers_silver", "delete_requests", "raw"]
+
+
+def test_order_documents_are_made_once_for_both_batches(spark):
+    first, _ = message_batches(Tables(spark, SMALL))
+    assert not [f for f in first.inputFiles() if "lineitem" in f]
