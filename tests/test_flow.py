@@ -7,6 +7,8 @@ from millrace.operators import assert_unique
 from millrace.plans.feeds import message_batches
 from millrace.plans.inputs import Tables, countries
 from millrace.plans.medallion import Medallion, steps_for
+from millrace.session import STATE_STORE
+from millrace.streaming import append_to, dedup_stream
 
 
 def test_flow_is_incremental_and_repeatable(spark, folder):
@@ -69,3 +71,16 @@ def test_only_the_needed_steps_run(spark, folder):
 def test_order_documents_are_made_once_for_both_batches(spark):
     first, _ = message_batches(Tables(spark, SMALL))
     assert not [f for f in first.inputFiles() if "lineitem" in f]
+
+
+def test_commits_of_state_write_changes_only(spark, folder):
+    kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    try:
+        spark.range(1, 21).selectExpr("id", "timestamp_seconds(id) AS ts").write.parquet(f"{folder}/in")
+        rows_in = spark.readStream.schema("id LONG, ts TIMESTAMP").parquet(f"{folder}/in")
+        append_to(dedup_stream(rows_in, ["id", "ts"], "ts"), f"{folder}/t", f"{folder}/c")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    assert list(Path(folder, "c", "state").rglob("*.changelog"))
+    assert spark.read.parquet(f"{folder}/t").count() == 20
