@@ -1,14 +1,17 @@
 """The multi-topic flow as a whole."""
 
+import threading
 from pathlib import Path
 
+from pyspark.sql.streaming import StreamingQueryListener
+
 from conftest import SMALL, rows
 from millrace.operators import assert_unique
 from millrace.plans.feeds import message_batches
-from millrace.plans.inputs import Tables, countries
+from millrace.plans.inputs import ORDER_SCHEMA, Tables, countries
 from millrace.plans.medallion import Medallion, steps_for
 from millrace.session import STATE_STORE
-from millrace.streaming import append_to, dedup_stream
+from millrace.streaming import append_to, dedup_stream, dedup_upsert
 
 
 def test_flow_is_incremental_and_repeatable(spark, folder):
@@ -68,6 +71,40 @@ def test_only_the_needed_steps_run(spark, folder):
         "bronze", "customers_silver", "delete_requests", "raw"]
 
 
+class _Updates(StreamingQueryListener):
+    """Rows that the state of a query has taken in, until it ends."""
+
+    def __init__(self):
+        self.rows, self.ended = 0, threading.Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.rows += sum(o.numRowsUpdated for o in event.progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.set()
+
+
+def test_a_batch_out_of_state_is_made_once(spark, folder):
+    t, keys = Tables(spark, SMALL), ["order_id", "order_timestamp"]
+    flow = Medallion(spark, folder, countries(t), "once_current_books")
+    flow.run_batch(message_batches(t)[0], steps_for("bronze"))
+    watch = _Updates()
+    spark.streams.addListener(watch)
+    try:
+        unique = dedup_stream(flow.topic_stream("orders", ORDER_SCHEMA), keys, "order_timestamp")
+        table = dedup_upsert(unique, f"{folder}/unique", ORDER_SCHEMA, keys, f"{folder}/checkpoint", "order_timestamp")
+        assert watch.ended.wait(30)
+    finally:
+        spark.streams.removeListener(watch)
+    assert watch.rows == table.count() > 0
+
+
 def test_order_documents_are_made_once_for_both_batches(spark):
     first, _ = message_batches(Tables(spark, SMALL))
     assert not [f for f in first.inputFiles() if "lineitem" in f]
