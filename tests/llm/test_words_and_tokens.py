@@ -108,6 +108,29 @@ def test_encoder_forgets_when_full(monkeypatch):
         assert encode.n <= 70
 
 
+def test_remembered_pieces_take_little_memory():
+    encode, n = tokens.Encoder(tokens.default_vocabulary()), 600_000
+    a, b = np.random.default_rng(4).integers(1, 1 << 63, (2, n)).astype(np.uint64)
+    ids = [np.array([7, 8, 9], dtype=np.uint32)] * 50_000
+    for at in range(0, n, 50_000):
+        encode._remember(a[at:at + 50_000], b[at:at + 50_000], ids)
+    assert (encode._find(a, b) == np.arange(n)).all() and (encode._find(a, b + np.uint64(1)) == -1).all()
+    held = [v for v in vars(encode).values() if isinstance(v, np.ndarray)]
+    assert sum(v.nbytes for v in held) <= 128 * n
+
+
+def test_token_tasks_and_shards_give_memory_back(spark, monkeypatch):
+    wrapped, freed = [], []
+    monkeypatch.setattr(token_store, "giving_back", lambda run: wrapped.append(run.__qualname__) or run)
+    prepare(spark)
+    tokens_of = token_store.tokens(spark.createDataFrame([(1, "one two")], "doc_id long, text string"))
+    assert len(wrapped) == 1 and tokens_of.columns == ["doc_id", "n", "ids"]
+    monkeypatch.setattr(packing, "give_back", lambda: freed.append(1))
+    group = pa.table({"shard": [0], "doc_id": [1], "tie": [5], "ids": [tokens.packed(np.array([3, 0], dtype=np.uint32))]})
+    assert packing._shard(8, False)(group).column("length").to_pylist() == [2]
+    assert freed == [1]
+
+
 @given(st.lists(st.integers(0, 1000), min_size=1, max_size=40))
 @settings(max_examples=60, deadline=None)
 def test_code_lengths_are_optimal(counts):
