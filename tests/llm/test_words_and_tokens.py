@@ -119,6 +119,24 @@ def test_remembered_pieces_take_little_memory():
     assert sum(v.nbytes for v in held) <= 128 * n
 
 
+def test_new_pieces_are_encoded_without_a_call_or_offsets_for_each():
+    class Library:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.calls.append(len(texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    words = [f"w{k}\u00e9{k * 7919 % 1000}\u2028x" if k % 97 == 0 else f"w{k}-{k * 7919 % 1000}," for k in range(4000)]
+    words += ["\u00a0", "a\u00a0b", "\u4e00", "\ue000", "x\x1cy", "caf\u00e9"]
+    text = " ".join(words) + "\n" + "  odd  \t run"
+    encode = tokens.Encoder(tokens.default_vocabulary())
+    encode.library = library = Library(encode.library)
+    assert encode(pa.array([text]))[0].tolist() == plain_ids(text)
+    assert len(library.calls) == 2 and library.calls[0] == 1 and library.calls[1] < 100
+
+
 def test_token_tasks_and_shards_give_memory_back(spark, monkeypatch):
     wrapped, freed = [], []
     monkeypatch.setattr(token_store, "giving_back", lambda run: wrapped.append(run.__qualname__) or run)
