@@ -3,12 +3,13 @@
 import threading
 from pathlib import Path
 
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from conftest import SMALL, rows
 from millrace.operators import assert_unique
 from millrace.plans.feeds import message_batches
-from millrace.plans.inputs import ORDER_SCHEMA, Tables, countries
+from millrace.plans.inputs import ORDER_SCHEMA, Tables, cents, countries, order_documents
 from millrace.plans.medallion import Medallion, steps_for
 from millrace.session import STATE_STORE
 from millrace.streaming import append_to, dedup_stream, dedup_upsert
@@ -121,3 +122,21 @@ def test_commits_of_state_write_changes_only(spark, folder):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
     assert list(Path(folder, "c", "state").rglob("*.changelog"))
     assert spark.read.parquet(f"{folder}/t").count() == 20
+
+
+def test_documents_of_orders_move_numbers_and_round_without_text(spark):
+    """Lines meet as numbers, and amounts are rounded like ``round`` does, but without decimals made from text."""
+    amounts = [0.0, -0.0, 1.005, 2.675, 0.125, -0.125, 0.005, -0.005, 0.0049999999999999994, 123456.785, -7.5, 9e13, None]
+    frame = spark.createDataFrame([(a,) for a in amounts], "a double")
+    got = frame.select(cents("a").alias("ours"), F.round(F.col("a") * 100).cast("bigint").alias("rounded")).collect()
+    assert [r.ours for r in got] == [r.rounded for r in got]
+
+    t = Tables(spark, SMALL)
+    plan = order_documents(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
+    collected = next(part for part in plan.split("\n") if "collect_list(" in part)
+    assert "cast(book_key" not in collected
+    lines = {(r.order_id, b.book_id, b.quantity, b.subtotal) for r in order_documents(t).collect() for b in r.books}
+    plain = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+        F.min("l_partkey").cast("string"), F.sum(F.col("l_quantity").cast("bigint")), F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")))
+    assert lines == {(str(r[0]), r[2], r[3], r[4]) for r in plain.collect()}
