@@ -1,5 +1,6 @@
 """The multi-topic flow as a whole."""
 
+import gzip
 import threading
 from pathlib import Path
 
@@ -8,10 +9,12 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from conftest import SMALL, rows
 from millrace.operators import assert_unique
+from millrace.plans import medallion
 from millrace.plans.feeds import message_batches
 from millrace.plans.inputs import ORDER_SCHEMA, Tables, cents, countries, order_documents
 from millrace.plans.medallion import Medallion, steps_for
 from millrace.session import STATE_STORE
+from millrace.sources.envelope import envelope_of
 from millrace.streaming import append_to, dedup_stream, dedup_upsert
 
 
@@ -140,3 +143,20 @@ def test_documents_of_orders_move_numbers_and_round_without_text(spark):
     plain = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_partkey").cast("string"), F.sum(F.col("l_quantity").cast("bigint")), F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")))
     assert lines == {(str(r[0]), r[2], r[3], r[4]) for r in plain.collect()}
+
+
+def test_raw_messages_are_packed_and_cut_into_files(spark, folder, monkeypatch):
+    """Raw files take a fraction of their JSON, none holds more than a task should read, and bronze gets every message as it was."""
+    monkeypatch.setattr(medallion, "MESSAGES_PER_FILE", 400)
+    sent = envelope_of(
+        spark.range(0, 1000, 1, 1).selectExpr("id", "concat('somebody', id, '@example.com') AS email", "timestamp_seconds(id) AS ts"),
+        "customers", "id", F.col("id"), F.col("ts"))
+    flow = Medallion(spark, folder, spark.createDataFrame([], "code STRING, country STRING"), "packed_current_books")
+    flow.land(sent)
+    files = list(Path(folder, "raw").glob("part-*"))
+    texts = [gzip.decompress(p.read_bytes()) for p in files]
+    assert sorted(t.count(b"\n") for t in texts) == [200, 400, 400]
+    assert sum(p.stat().st_size for p in files) < sum(map(len, texts)) / 3
+    flow.process_bronze()
+    kept = ["key", "value", "topic", "partition", "offset"]
+    assert rows(flow.bronze().select(kept)) == rows(sent.select(kept))
