@@ -2,8 +2,10 @@
 
 import gzip
 import threading
+import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -13,6 +15,7 @@ from millrace.plans import medallion
 from millrace.plans.feeds import message_batches
 from millrace.plans.inputs import ORDER_SCHEMA, Tables, cents, countries, order_documents
 from millrace.plans.medallion import Medallion, steps_for
+from millrace.queries.streams import _Run
 from millrace.session import STATE_STORE
 from millrace.sources.envelope import envelope_of
 from millrace.streaming import append_to, dedup_stream, dedup_upsert
@@ -160,3 +163,29 @@ def test_raw_messages_are_packed_and_cut_into_files(spark, folder, monkeypatch):
     flow.process_bronze()
     kept = ["key", "value", "topic", "partition", "offset"]
     assert rows(flow.bronze().select(kept)) == rows(sent.select(kept))
+
+
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in blocks.mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_a_run_keeps_no_shuffles_and_stores_in_half(spark):
+    """Shuffles of batches and micro-batches, with and without state, go as they end; what stays is written with zstd."""
+    def left():
+        wait_until = time.time() + 10
+        while _shuffle_files(spark) - before and time.time() < wait_until:
+            time.sleep(0.2)
+        return _shuffle_files(spark) - before
+
+    before = _shuffle_files(spark)
+    run = _Run(Tables(spark, SMALL), steps_for("books_sales"))
+    assert not left()
+    for step in ("bronze", "orders_silver", "books_sales"):
+        files = list(Path(run.flow.root, step).rglob("part-*.parquet"))
+        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+    # only within: a frame run twice by others has its shuffles still
+    counts = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(counts.collect()) == len(counts.collect()) == 7
+    assert _shuffle_files(spark) - before
