@@ -130,6 +130,15 @@ def test_commits_of_state_write_changes_only(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 20
 
 
+def test_state_is_logged_with_zstd(spark, folder):
+    """Rows of state are written for good at every commit; a new checkpoint packs them with zstd and notes it."""
+    spark.range(1, 21).selectExpr("id", "timestamp_seconds(id) AS ts").write.parquet(f"{folder}/in")
+    rows_in = spark.readStream.schema("id LONG, ts TIMESTAMP").parquet(f"{folder}/in")
+    append_to(dedup_stream(rows_in, ["id", "ts"], "ts"), f"{folder}/t", f"{folder}/c")
+    assert '"spark.sql.streaming.stateStore.compression.codec":"zstd"' in Path(folder, "c", "offsets", "0").read_text()
+    assert spark.read.parquet(f"{folder}/t").count() == 20
+
+
 def test_documents_of_orders_move_numbers_and_round_without_text(spark):
     """Lines meet as numbers, and amounts are rounded like ``round`` does, but without decimals made from text."""
     amounts = [0.0, -0.0, 1.005, 2.675, 0.125, -0.125, 0.005, -0.005, 0.0049999999999999994, 123456.785, -7.5, 9e13, None]
@@ -178,9 +187,11 @@ def test_a_run_keeps_no_shuffles_and_stores_in_half(spark):
             time.sleep(0.2)
         return _shuffle_files(spark) - before
 
-    before = _shuffle_files(spark)
+    before, begin = _shuffle_files(spark), time.time()
     run = _Run(Tables(spark, SMALL), steps_for("books_sales"))
     assert not left()
+    documents = [p for p in Path(run.flow.root).parent.glob("order-documents-*") if p.stat().st_ctime >= begin]
+    assert documents and sum(spark.read.parquet(str(p)).count() for p in documents) == 0
     for step in ("bronze", "orders_silver", "books_sales"):
         files = list(Path(run.flow.root, step).rglob("part-*.parquet"))
         assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
